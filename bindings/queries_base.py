@@ -57,9 +57,9 @@ def csv_corrupt_quarantine(t: Tables) -> DataFrame:
     damaged = _lines(t).withColumn(
         "price", F.when(F.col("flag") == "R", F.lit("n/a")).otherwise(F.col("price").cast("string")))
     damaged.write.option("header", True).csv(path)
-    read = files.read_csv(t.spark, path, LINE_SCHEMA)
-    intact = files.intact_rows(read).select(F.lit(False).alias("is_corrupt"), "order_id")
-    corrupt = files.corrupt_rows(read).select(
+    intact, corrupt = files.split_corrupt(files.read_csv(t.spark, path, LINE_SCHEMA))
+    intact = intact.select(F.lit(False).alias("is_corrupt"), "order_id")
+    corrupt = corrupt.select(
         F.lit(True).alias("is_corrupt"), F.split("line", ",")[0].cast("long").alias("order_id"))
     return intact.unionByName(corrupt).groupBy("is_corrupt").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("orders"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from loyaltide.functions.columns import rows_where
+from loyaltide.plans.staging import stage
 from loyaltide.sources import schemas
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -32,9 +33,14 @@ def intact_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def corrupt_rows(df: DataFrame) -> DataFrame:
-    """The unparsable lines, to be written to a quarantine table."""
-    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The intact rows, and the unparsable lines for a quarantine table.
+
+    The parsed rows are staged: the text is parsed once for both, and Spark does
+    not allow the corrupt column to be read from CSV on its own.
+    """
+    parsed = stage(df, "parsed-csv")
+    return intact_rows(parsed), parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
 
 
 def drop_null_keys(df: DataFrame, key: str) -> DataFrame:

@@ -1 +1,146 @@
+"""Training, evaluating and applying churn models, in batch and as a stream."""
 
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from bindings.registry import query
+from bindings.tables import Tables
+from loyaltide.ml import pipeline, train
+from loyaltide.operators import drift
+from loyaltide.operators.profile import confusion_matrix
+from loyaltide.plans.pipelines import drift_cycle as run_drift_cycle
+from loyaltide.plans.staging import scratch_path, stage
+from loyaltide.sources import schemas
+from loyaltide.streaming import score
+
+
+@query()
+def ml_features(t: Tables) -> DataFrame:
+    """The assembled inputs of every customer, as an array."""
+    fitted = Pipeline(stages=pipeline.preprocessing()).fit(t.features)
+    return fitted.transform(t.features).select(
+        "customer_unique_id", vector_to_array("features").alias("features"), "churn_label")
+
+
+def _trained(t: Tables, kind: str, **options) -> DataFrame:
+    return train.run_training(t.features, kind, **options)[1]
+
+
+@query()
+def train_gbt(t: Tables) -> DataFrame:
+    return _trained(t, "gbt")
+
+
+@query()
+def train_rf(t: Tables) -> DataFrame:
+    return _trained(t, "rf", weighted=True)
+
+
+@query()
+def train_lr(t: Tables) -> DataFrame:
+    return _trained(t, "lr")
+
+
+@query()
+def train_cv(t: Tables) -> DataFrame:
+    return _trained(t, "lr", cross_validate=True)
+
+
+@query()
+def train_test_split(t: Tables) -> DataFrame:
+    return train.with_split(t.features).select("customer_unique_id", "split")
+
+
+@query("""
+SELECT round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, round(precision, 6) AS precision, round(recall, 6) AS recall
+FROM (
+  SELECT sum(tp) / sum(actual) AS accuracy, sum(actual * 2 * p * r / (p + r)) / sum(actual) AS f1,
+         sum(actual * p) / sum(actual) AS precision, sum(actual * r) / sum(actual) AS recall
+  FROM (SELECT actual, tp, tp / predicted AS p, tp / actual AS r FROM (
+    SELECT count(*) FILTER (WHERE quality = c) AS actual, count(*) FILTER (WHERE toxic = c) AS predicted,
+           count(*) FILTER (WHERE quality = c AND toxic = c) AS tp
+    FROM labels, (SELECT unnest([0, 1]) AS c) GROUP BY c)))""")
+def eval_metrics(t: Tables) -> DataFrame:
+    return train.count_metrics(confusion_matrix(t.raw("labels"), "quality", "toxic"), "quality", "toxic")
+
+
+@query()
+def feature_importance(t: Tables) -> DataFrame:
+    model = train.fit(train.train_test_split(t.features)[0], "rf")
+    return pipeline.feature_importance(model, model.transform(t.features))
+
+
+def _model(t: Tables):
+    return train.fit(train.train_test_split(t.features)[0], "lr")
+
+
+@query()
+def batch_score(t: Tables) -> DataFrame:
+    return score.batch_score(t.features, _model(t)).select(
+        "customer_unique_id", "churn_label", "prediction", "churn_probability", "risk_tier")
+
+
+@query()
+def model_roundtrip(t: Tables) -> DataFrame:
+    """Largest difference between the scores of a model and of its saved and loaded copy."""
+    model, path = _model(t), scratch_path(t.spark, "model")
+    pipeline.save_model(model, path)
+    scores = [
+        score.batch_score(t.features, m).select("customer_unique_id", F.col("churn_probability").alias(name))
+        for m, name in ((model, "before"), (pipeline.load_model(path), "after"))]
+    return scores[0].join(scores[1], "customer_unique_id").agg(
+        F.count(F.lit(1)).alias("customers"), F.max(F.abs(F.col("before") - F.col("after"))).alias("largest_gap"))
+
+
+def _landing(t: Tables) -> str:
+    """Every click event with its customer's features, as files of a landing folder."""
+    events = t.events.select(
+        F.col("visitorid").alias("customer_unique_id"), F.col("event_time").cast("timestamp").alias("event_timestamp"),
+        F.col("event").alias("event_type"), F.col("itemid").alias("item_id"), F.col("value").alias("price"))
+    rows = events.join(t.features, "customer_unique_id", "left")
+    path = scratch_path(t.spark, "landing")
+    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.STREAM_EVENT]).write.parquet(path)
+    return path
+
+
+def _scored_stream(t: Tables) -> str:
+    """Score the landing folder to the end and give the path of the predictions."""
+    scored = score.stream_score(score.event_source(t.spark, _landing(t)), _model(t))
+    path = scratch_path(t.spark, "predictions")
+    score.start_sink(scored, "parquet", path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
+    return path
+
+
+@query()
+def stream_score(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(_scored_stream(t)).drop("processed_at")
+
+
+@query()
+def stream_recent_predictions(t: Tables) -> DataFrame:
+    return score.recent_predictions(t.spark, _scored_stream(t), 100).drop("processed_at")
+
+
+@query()
+def stream_health(t: Tables) -> DataFrame:
+    scored = score.stream_score(score.event_source(t.spark, _landing(t)), _model(t))
+    path = scratch_path(t.spark, "stream-health")
+    score.start_health(scored, path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
+    return t.spark.read.parquet(path).select("batch", "metric", "value")
+
+
+@query()
+def drift_cycle(t: Tables) -> DataFrame:
+    """Drift between customers by a hash split, and a training on the current rows if it is called for."""
+    rows = t.features.drop("customer_unique_id")
+    reference, current = drift.hash_split(t.features, "customer_unique_id")
+    outcome = run_drift_cycle(
+        reference.select(*rows.columns), current.select(*rows.columns),
+        lambda current_rows: train.run_training(current, "lr")[1],
+        trained=stage(t.raw("orders").select(F.max("o_orderdate").alias("recorded_at")), "trainings"),
+        as_of=F.lit("2024-02-01").cast("date"))
+    return outcome.withColumn("auc_roc", F.col("metrics.auc_roc")).drop("metrics")

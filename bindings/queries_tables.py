@@ -1 +1,256 @@
+"""Versioned tables: writes, reads at a version, merges, deletes, updates and rewrites."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from bindings.queries_base import rnd, when
+from bindings.registry import query
+from bindings.tables import Tables
+from loyaltide.plans.staging import scratch_path
+from loyaltide.sources import files, versions
+
+CUT = "2000-01-01"
+ORDER_COLUMNS = f"o_orderkey, o_custkey, o_orderstatus, {rnd('o_totalprice')}, {when('o_orderdate')}, o_orderpriority"
+
+
+def _before(t: Tables) -> DataFrame:
+    return t.raw("orders").filter(F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz"))
+
+
+def _since(t: Tables) -> DataFrame:
+    return t.raw("orders").filter(F.col("o_orderdate") >= F.lit(CUT).cast("timestamp_ntz"))
+
+
+def _table(t: Tables, name: str) -> str:
+    return scratch_path(t.spark, name)
+
+
+def _customers(df: DataFrame) -> DataFrame:
+    """A small feature store made of orders: one row per customer, labelled by the last order's status."""
+    return df.groupBy(F.col("o_custkey").alias("customer_unique_id")).agg(
+        F.count(F.lit(1)).alias("frequency"), F.round(F.sum("o_totalprice"), 2).alias("monetary"),
+        F.max(F.when(F.col("o_orderstatus") == "F", 1)).alias("churn_label"))
+
+
+CUSTOMERS = {
+    name: f"""
+SELECT o_custkey AS customer_unique_id, count(*) AS frequency, round(sum(o_totalprice), 2) AS monetary,
+       max(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS churn_label
+FROM orders WHERE {test} GROUP BY 1""" for name, test in (
+        ("v_old", f"o_orderdate < TIMESTAMP '{CUT}'"), ("v_new", f"o_orderdate >= TIMESTAMP '{CUT}'"))
+}
+CUSTOMERS["v_upserted"] = """
+SELECT * FROM v_old WHERE customer_unique_id NOT IN (SELECT customer_unique_id FROM v_new)
+UNION ALL SELECT * FROM v_new"""
+
+
+@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def version_write(t: Tables) -> DataFrame:
+    """Overwrite with the older orders, then append the newer ones."""
+    path = _table(t, "orders")
+    versions.write_version(_before(t), path, partition_by=["o_orderstatus"])
+    versions.write_version(_since(t), path, "append")
+    return versions.read_version(t.spark, path).select(*t.raw("orders").columns)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def version_schema_merge(t: Tables) -> DataFrame:
+    """The append brings a column that older rows do not have."""
+    path = _table(t, "orders-evolving")
+    versions.write_version(_before(t).select("o_orderkey"), path)
+    versions.write_version(_since(t).select("o_orderkey", "o_orderpriority"), path, "append", merge_schema=True)
+    return versions.read_version(t.spark, path)
+
+
+@query("""
+SELECT 'version 0' AS read, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+WHERE o_orderdate < TIMESTAMP '2000-01-01'
+UNION ALL SELECT 'at first commit', count(*), round(sum(o_totalprice), 2) FROM orders
+WHERE o_orderdate < TIMESTAMP '2000-01-01'
+UNION ALL SELECT 'version 1', count(*), round(sum(o_totalprice), 2) FROM orders
+UNION ALL SELECT 'current', count(*), round(sum(o_totalprice), 2) FROM orders
+WHERE o_orderdate >= TIMESTAMP '2000-01-01'""", digits=2)
+def time_travel(t: Tables) -> DataFrame:
+    path = _table(t, "orders-history")
+    versions.write_version(_before(t), path)
+    first_commit = versions.history(t.spark, path).select(F.col("committed_at").cast("string")).first()[0]
+    versions.write_version(_since(t), path, "append")
+    versions.write_version(_since(t), path, "overwrite")
+    reads = {
+        "version 0": versions.read_version(t.spark, path, 0),
+        "at first commit": versions.read_version(t.spark, path, timestamp=first_commit),
+        "version 1": versions.read_version(t.spark, path, 1),
+        "current": versions.read_version(t.spark, path),
+    }
+    return files.union_parts(*[
+        df.agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")).withColumn("read", F.lit(name))
+        for name, df in reads.items()])
+
+
+@query("""
+SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal, 6) AS s_acctbal, true AS first_time, false AS second_time
+FROM supplier""")
+def migrate_table(t: Tables) -> DataFrame:
+    path = _table(t, "supplier")
+    source = f"{t.folder}/supplier.parquet"
+    first = versions.migrate(t.spark, source, path, ["s_nationkey"])
+    second = versions.migrate(t.spark, source, path, ["s_nationkey"])
+    return versions.read_version(t.spark, path).withColumns({
+        "first_time": F.lit(first), "second_time": F.lit(second)})
+
+
+@query("SELECT customer_unique_id, frequency, round(monetary, 2) AS monetary, churn_label FROM v_upserted", digits=2,
+       views=CUSTOMERS)
+def upsert(t: Tables) -> DataFrame:
+    path = _table(t, "user-features")
+    versions.upsert(_customers(_before(t)), path)
+    versions.upsert(_customers(_since(t)), path)
+    return versions.read_version(t.spark, path)
+
+
+DAILY = """
+SELECT user_id AS customer_unique_id, CAST(ts AS DATE) AS prediction_date, max(ts) AS processed_at,
+       max(value) AS churn_probability, 'LOW' AS risk_tier
+FROM events WHERE event_type = '{}' GROUP BY 1, 2"""
+
+
+@query("""
+SELECT customer_unique_id, CAST(prediction_date AS VARCHAR) AS prediction_date,
+       round(churn_probability, 6) AS churn_probability, risk_tier,
+       strftime(processed_at, '%Y-%m-%d %H:%M:%S') AS processed_at
+FROM (SELECT * FROM v_views WHERE (customer_unique_id, prediction_date) NOT IN
+        (SELECT (customer_unique_id, prediction_date) FROM v_clicks)
+      UNION ALL SELECT * FROM v_clicks)""",
+       views={"v_views": DAILY.format("view"), "v_clicks": DAILY.format("click")})
+def upsert_daily(t: Tables) -> DataFrame:
+    """Predictions made on clicks replace those made on views of the same customer and day."""
+    path = _table(t, "predictions")
+    for kind in ("view", "click"):
+        day = F.to_date("ts")
+        made = t.raw("events").filter(F.col("event_type") == kind).groupBy(
+            F.col("user_id").alias("customer_unique_id"), day.alias("day")
+        ).agg(F.max("ts").alias("processed_at"), F.max("value").alias("churn_probability")).drop("day")
+        versions.upsert_predictions(made.withColumn("risk_tier", F.lit("LOW")), path)
+    return versions.read_version(t.spark, path)
+
+
+@query("""
+SELECT customer_unique_id, frequency, round(monetary, 2) AS monetary, churn_label FROM v_old
+WHERE NOT coalesce(churn_label = 1, false)""", digits=2, views=CUSTOMERS)
+def delete_where(t: Tables) -> DataFrame:
+    """Customers with a null label stay: the condition does not hold for them."""
+    path = _table(t, "user-features")
+    versions.write_version(_customers(_before(t)), path)
+    versions.delete_where(t.spark, path, F.col("churn_label") == 1)
+    return versions.read_version(t.spark, path)
+
+
+@query(f"""
+SELECT event_id AS prediction, {when('ts')} FROM events WHERE ts >= TIMESTAMP '2024-01-16'""".replace(
+    "AS ts", "AS processed_at"))
+def retention_delete(t: Tables) -> DataFrame:
+    path = _table(t, "predictions")
+    versions.write_version(
+        t.raw("events").select(F.col("event_id").alias("prediction"), F.col("ts").alias("processed_at")), path)
+    versions.delete_old_predictions(t.spark, path, 15, F.lit("2024-01-31").cast("date"))
+    return versions.read_version(t.spark, path)
+
+
+@query("""
+SELECT customer_unique_id, frequency, round(monetary, 2) AS monetary,
+       CASE WHEN customer_unique_id = 7 THEN 0 ELSE churn_label END AS churn_label FROM v_old""", digits=2,
+       views=CUSTOMERS)
+def update_where(t: Tables) -> DataFrame:
+    path = _table(t, "user-features")
+    versions.write_version(_customers(_before(t)), path)
+    versions.update_churn_label(t.spark, path, 7, 0)
+    return versions.read_version(t.spark, path)
+
+
+@query("""
+SELECT order_id, CASE WHEN d < -30 THEN 0 ELSE d END AS delivery_delay_days
+FROM (SELECT order_id, delivery_delay_days AS d FROM v_transformed)""")
+def update_bulk(t: Tables) -> DataFrame:
+    path = _table(t, "transformed")
+    versions.write_version(t.transformed.select("order_id", "delivery_delay_days"), path)
+    versions.correct_bad_delays(t.spark, path)
+    return versions.read_version(t.spark, path)
+
+
+def _changed_twice(t: Tables) -> str:
+    path = _table(t, "user-features")
+    versions.write_version(_customers(_before(t)), path)
+    versions.upsert(_customers(_since(t)), path)
+    return path
+
+
+@query("""
+SELECT * FROM (VALUES (0, 'overwrite', true), (1, 'upsert', true), (2, 'append', false), (3, 'rollback', true))
+  AS h(version, operation, is_full)""")
+def version_history(t: Tables) -> DataFrame:
+    path = _changed_twice(t)
+    versions.write_version(_customers(_since(t)), path, "append")
+    versions.rollback(t.spark, path, 0)
+    return versions.history(t.spark, path).select("version", "operation", "is_full")
+
+
+@query("SELECT customer_unique_id, frequency, round(monetary, 2) AS monetary, churn_label FROM v_old", digits=2,
+       views=CUSTOMERS)
+def version_rollback(t: Tables) -> DataFrame:
+    path = _changed_twice(t)
+    versions.rollback(t.spark, path, 0)
+    return versions.read_version(t.spark, path)
+
+
+@query("""
+SELECT a.customer_unique_id, a.churn_label AS churn_label_v0, b.churn_label AS churn_label_v1
+FROM v_old a JOIN v_upserted b ON a.customer_unique_id = b.customer_unique_id
+WHERE a.churn_label IS DISTINCT FROM b.churn_label""", views=CUSTOMERS)
+def version_diff(t: Tables) -> DataFrame:
+    return versions.version_diff(t.spark, _changed_twice(t), 0, 1)
+
+
+@query("""
+SELECT coalesce(a.customer_unique_id, b.customer_unique_id) AS customer_unique_id, a.frequency AS frequency_v0,
+       b.frequency AS frequency_v1
+FROM v_old a FULL JOIN v_upserted b ON a.customer_unique_id = b.customer_unique_id
+WHERE a.frequency IS DISTINCT FROM b.frequency OR a.customer_unique_id IS NULL OR b.customer_unique_id IS NULL""",
+       views=CUSTOMERS)
+def version_diff_all(t: Tables) -> DataFrame:
+    return versions.version_diff(t.spark, _changed_twice(t), 0, 1, column="frequency", added_and_removed=True)
+
+
+def _many_files(t: Tables) -> str:
+    path = _table(t, "orders-small-files")
+    versions.write_version(t.raw("orders").repartition(16), path)
+    return path
+
+
+@query(f"SELECT {ORDER_COLUMNS}, CAST(16 AS BIGINT) AS files_before, CAST(1 AS BIGINT) AS files_after FROM orders")
+def compact(t: Tables) -> DataFrame:
+    path = _many_files(t)
+    before = versions.table_stats(t.spark, path).first()["files"]
+    versions.compact(t.spark, path)
+    after = versions.table_stats(t.spark, path).first()["files"]
+    return versions.read_version(t.spark, path).withColumns({
+        "files_before": F.lit(before).cast("bigint"), "files_after": F.lit(after).cast("bigint")})
+
+
+@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def cluster_by(t: Tables) -> DataFrame:
+    path = _many_files(t)
+    versions.cluster_by(t.spark, path, ["o_orderstatus", "o_orderdate"])
+    return versions.read_version(t.spark, path)
+
+
+@query("""
+SELECT CAST(16 AS BIGINT) AS files, count(*) AS rows, CAST(1 AS BIGINT) AS versions, 'overwrite' AS last_operation,
+       true AS has_bytes FROM orders""")
+def table_stats(t: Tables) -> DataFrame:
+    """Bytes depend on the Parquet writer, so only their presence is checked."""
+    stats = versions.table_stats(t.spark, _many_files(t))
+    return stats.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")

@@ -35,6 +35,11 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    @classmethod
+    def forget(cls) -> None:
+        """Have stored tables built anew, as in a new session."""
+        cls._stored.clear()
+
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loyaltide.functions.columns import rows_where, safe_ratio
-from loyaltide.operators.profile import null_profile
+from loyaltide.operators.profile import null_counts
 
 # Alert thresholds.
 MAX_NULL_RATE = 0.05
@@ -20,32 +20,30 @@ MAX_CHURN_RATE = 0.60
 MIN_CHURN_RATE = 0.01
 
 
-def _alert(condition: Column, kind: str, value: Column) -> Column:
-    return F.when(condition, F.struct(F.lit(kind).alias("anomaly"), value.cast("double").alias("value")))
+def _alert(condition: Column, column: str | None, kind: str, value: Column) -> Column:
+    return F.when(condition, F.struct(
+        F.lit(column).cast("string").alias("column"), F.lit(kind).alias("anomaly"),
+        value.cast("double").alias("value")))
 
 
 def table_health(df: DataFrame, stage: str, critical: Sequence[str] = (),
                  previous_rows: Column | int | None = None) -> DataFrame:
     """One row per anomaly of a table: few rows, row drop, null rate, null in a critical column.
 
-    Checks of the table as a whole have a null ``column``. A healthy table gives no rows.
+    Checks of the table as a whole have a null ``column``. A healthy table gives
+    no rows. All checks come from one pass over the table.
     """
     before = previous_rows if isinstance(previous_rows, Column) else F.lit(previous_rows).cast("bigint")
-    nulls = null_profile(df)
-    rate = F.col("null_pct") / 100
-    per_column = nulls.filter(F.col("rows") > 0).select("column", F.explode(F.array_compact(F.array(
-        _alert(rate > MAX_NULL_RATE, "null rate", rate),
-        _alert(F.col("column").isin(*critical) & (rate > 0), "critical null", rate) if critical
-        else F.lit(None).cast("struct<anomaly:string,value:double>"),
-    ))).alias("alert"))
-    drop = safe_ratio(before - F.col("rows"), before)
-    whole = df.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(None).cast("string").alias("column"),
-        F.explode(F.array_compact(F.array(
-            _alert(F.col("rows") < MIN_ROWS, "few rows", F.col("rows")),
-            _alert(drop > MAX_ROW_DROP, "row drop", drop),
-        ))).alias("alert"))
-    return whole.unionByName(per_column).select(F.lit(stage).alias("stage"), "column", "alert.*")
+    rows = F.col("rows")
+    drop = safe_ratio(before - rows, before)
+    alerts = [_alert(rows < MIN_ROWS, None, "few rows", rows), _alert(drop > MAX_ROW_DROP, None, "row drop", drop)]
+    for c in df.columns:
+        rate = safe_ratio(F.col("nulls")[c], rows, 0.0)
+        alerts.append(_alert(rate > MAX_NULL_RATE, c, "null rate", rate))
+        if c in critical:
+            alerts.append(_alert(rate > 0, c, "critical null", rate))
+    return null_counts(df).select(F.explode(F.array_compact(F.array(*alerts))).alias("alert")).select(
+        F.lit(stage).alias("stage"), "alert.*")
 
 
 def prediction_health(df: DataFrame, batch_id: str = "batch_0", prediction_col: str = "prediction",

@@ -46,12 +46,17 @@ def schema_conformance(df: DataFrame, expected: StructType) -> DataFrame:
     return df.agg(*failing).select(F.inline(F.array(*facts)))
 
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """Rows, nulls and null percentage of every column, in one pass."""
-    counted = df.agg(
+def null_counts(df: DataFrame) -> DataFrame:
+    """One row: the number of rows, and of nulls per column as a struct."""
+    return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.struct(*[rows_where(F.col(c).isNull()).alias(c) for c in df.columns]).alias("nulls"),
     )
+
+
+def null_profile(df: DataFrame) -> DataFrame:
+    """Rows, nulls and null percentage of every column, in one pass."""
+    counted = null_counts(df)
     per_column = [F.struct(F.lit(c).alias("column"), F.col("nulls")[c].alias("null_count")) for c in df.columns]
     return counted.select("rows", F.inline(F.array(*per_column))).select(
         "column", "rows", "null_count",

@@ -117,7 +117,8 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
     parts = [r.version for r in commits.filter(F.col("version") >= last_full).select("version").collect()]
     if wanted not in parts:
         raise ValueError(f"{path} has no version {wanted}")
-    return spark.read.option("mergeSchema", True).parquet(*[f"{path}/version={v}" for v in sorted(parts)])
+    folders = [f"{path}/version={v}" for v in sorted(parts)]
+    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).drop("version")
 
 
 # --- writes ------------------------------------------------------------------
@@ -130,15 +131,19 @@ def write_version(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     ``merge_schema``), ``ignore`` and ``error`` write only a table that is not there yet.
     """
     spark = df.sparkSession
+    if "version" in df.columns:
+        raise ValueError("the column name version is taken by the table's folders")
     known = exists(spark, path)
     if known and mode == "ignore":
         return current_version(spark, path)
     if known and mode == "error":
         raise ValueError(f"{path} exists")
     version = current_version(spark, path) + 1 if known else 0
-    if partition_by is None:
-        partition_by = list(history(spark, path, 1).first()["partition_by"]) if known else []
+    present = list(history(spark, path, 1).first()["partition_by"]) if known else []
+    partition_by = present if partition_by is None else list(partition_by)
     is_full = not (known and mode == "append")
+    if not is_full and partition_by != present:
+        raise ValueError(f"{path} is partitioned by {present}")
     if not is_full and not merge_schema:
         added = set(df.columns) - set(read_version(spark, path).columns)
         if added:

@@ -97,18 +97,15 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
-    # Rows in earlier slots, at most columns * probabilities rows.
-    before = Window.partitionBy("feature").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.groupBy("feature", "slot").agg(F.sum("rows").alias("slot_rows"))
-        .select("feature", "slot", F.coalesce(F.sum("slot_rows").over(before), F.lit(0)).alias("offset"))
-    )
+    # Rows in earlier slots: again one row per column, sent along with its ranks.
+    earlier = [F.coalesce(F.sum(F.when(F.col("slot") < i, F.col("rows"))), F.lit(0)) for i in range(k + 1)]
+    lookup = counts.groupBy("feature").agg(F.array(*earlier).alias("earlier")).join(
+        F.broadcast(brackets.select("feature", "ranks")), "feature")
     within = Window.partitionBy("feature", "slot").orderBy(F.col("candidate").asc_nulls_first())
-    reached = F.col("offset") + F.sum("rows").over(within)
     ranked = (
-        counts.join(F.broadcast(offsets), ["feature", "slot"])
-        .withColumn("reached", reached)
-        .join(F.broadcast(brackets.select("feature", "ranks")), "feature")
+        counts.withColumn("reached", F.sum("rows").over(within))
+        .join(F.broadcast(lookup), "feature")
+        .withColumn("reached", F.col("reached") + F.get("earlier", F.col("slot")))
         .withColumn("rank_asked", F.explode(F.filter(
             F.arrays_zip(F.col("ranks").alias("rank"), F.sequence(F.lit(0), F.lit(k - 1)).alias("at")),
             lambda r: (r["rank"] <= F.col("reached")) & (r["rank"] > F.col("reached") - F.col("rows")),

@@ -14,13 +14,22 @@ SOLD_STATUSES = ("delivered", "shipped", "invoiced", "processing")
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
-    """Paid total, payment types, mean installments and the type of the first payment."""
-    first = F.min(F.struct("payment_sequential", "payment_type"))
-    return payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment_value"),
-        F.count_distinct("payment_type").alias("num_payment_types"),
-        F.avg("payment_installments").alias("avg_installments"),
-        first["payment_type"].alias("primary_payment_type"),
+    """Paid total, payment types, mean installments and the type of the first payment.
+
+    Payments are first combined per order and type, over numbers only, which
+    Spark does by hashing; the few rows per order that remain name the types.
+    """
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.sum("payment_value").alias("value"),
+        F.sum("payment_installments").alias("installments"),
+        F.count("payment_installments").alias("counted"),
+        F.min("payment_sequential").alias("payment_sequential"),
+    )
+    return per_type.groupBy("order_id").agg(
+        F.sum("value").alias("total_payment_value"),
+        F.count("payment_type").alias("num_payment_types"),
+        safe_ratio(F.sum("installments"), F.sum("counted")).alias("avg_installments"),
+        F.min(F.struct("payment_sequential", "payment_type"))["payment_type"].alias("primary_payment_type"),
     )
 
 

@@ -29,18 +29,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
-def intact_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-
-
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The intact rows, and the unparsable lines for a quarantine table.
 
-    The parsed rows are staged: the text is parsed once for both, and Spark does
-    not allow the corrupt column to be read from CSV on its own.
+    The parsed rows are staged first. On a plain CSV scan Spark only parses the
+    columns a query uses, so a line could be corrupt for one query and intact for
+    the next; it also means the text is parsed once.
     """
     parsed = stage(df, "parsed-csv")
-    return intact_rows(parsed), parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+    is_corrupt = F.col(CORRUPT).isNotNull()
+    return parsed.filter(~is_corrupt).drop(CORRUPT), parsed.filter(is_corrupt).select(F.col(CORRUPT).alias("line"))
 
 
 def drop_null_keys(df: DataFrame, key: str) -> DataFrame:
@@ -55,7 +53,8 @@ def null_key_report(df: DataFrame, key: str) -> DataFrame:
 
 
 def ingest_table(spark: SparkSession, path: str, schema: StructType, key: str | None = None) -> DataFrame:
-    df = intact_rows(read_csv(spark, path, schema))
+    """The intact rows of a CSV file that have the key."""
+    df, _ = split_corrupt(read_csv(spark, path, schema))
     return drop_null_keys(df, key) if key else df
 
 

@@ -257,7 +257,7 @@ FROM v_transformed"""
 
 
 @query(TRANSFORMED_SQL)
-def transform_pipeline(t: Tables) -> DataFrame:
+def transform_orders(t: Tables) -> DataFrame:
     return t.build_transformed()
 
 
@@ -351,14 +351,15 @@ def _skewed_events(t: Tables) -> DataFrame:
 SKEW_SIDES = {
     "v_skewed": f"SELECT event_id, {SKEWED_KEY} AS key, value FROM events",
     "v_key_names": f"""
-SELECT key, 'group ' || key AS label
-FROM (SELECT DISTINCT {SKEWED_KEY} AS key FROM events) WHERE key <> 'user_1'""",
+SELECT {SKEWED_KEY} AS key, 'group ' || {SKEWED_KEY} AS label
+FROM events GROUP BY 1, 2 HAVING max(value) > 20""",
 }
 
 
 def _key_names(t: Tables) -> DataFrame:
-    keys = _skewed_events(t).select("key").distinct().filter(F.col("key") != "user_1")
-    return keys.withColumn("label", F.concat(F.lit("group "), "key"))
+    """A label for keys with a large event, so that some keys have none."""
+    keys = _skewed_events(t).groupBy("key").agg(F.max("value").alias("largest"))
+    return keys.filter(F.col("largest") > 20).select("key", F.concat(F.lit("group "), "key").alias("label"))
 
 
 @query(f"""

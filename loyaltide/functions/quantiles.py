@@ -9,8 +9,8 @@ Two methods share one result, ``(feature, quantiles array<double>)``:
 * ``accuracy=n`` reads the data once and answers from the sketch alone, with a
   rank error of at most ``rows / n``.
 
-The sketch is merged in one task, so its accuracy is kept far below the row
-count: asking it for exact answers would move whole columns through that task.
+A column's sketches are merged in one task, so their accuracy is kept far below
+the row count: asking them for exact answers would move the whole column there.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from loyaltide.functions.columns import finite_double, total
 from loyaltide.plans.staging import stage
 
-BRACKET_ACCURACY = 10_000
+BRACKET_ACCURACY = 5_000
 
 
 def column_quantiles(
@@ -40,9 +40,9 @@ def column_quantiles(
     """
     values = df.select(*[finite_double(c) for c in columns])
     if accuracy is not None:
-        return values.agg(
-            *[F.percentile_approx(c, list(probabilities), accuracy).alias(c) for c in columns]
-        ).unpivot([], list(columns), "feature", "quantiles")
+        found = values.unpivot([], list(columns), "feature", "value").groupBy("feature").agg(
+            F.percentile_approx("value", list(probabilities), accuracy).alias("quantiles"))
+        return _for_each(columns, found)
     return _exact_quantiles(values, list(columns), list(probabilities))
 
 
@@ -66,19 +66,20 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     around = [max(p - margin, 0.0) for p in ps] + [min(p + margin, 1.0) for p in ps]
     k = len(ps)
 
+    long = values.unpivot([], columns, "feature", "value").filter(F.col("value").isNotNull())
+
     # One row per column: bounds around each quantile and the rank asked for.
-    sketch = values.agg(*[
-        F.struct(F.count(c).alias("n"), F.percentile_approx(c, around, BRACKET_ACCURACY).alias("at")).alias(c)
-        for c in columns
-    ]).unpivot([], columns, "feature", "sketch")
+    # Grouping by column gives every column's sketches a task of their own to merge.
+    sketch = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", around, BRACKET_ACCURACY).alias("at"))
     ranks = [
-        F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("sketch.n")).cast("long"), F.lit(1).cast("long"))
+        F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("n")).cast("long"), F.lit(1).cast("long"))
         for p in ps
     ]
     brackets = sketch.select(
         "feature",
-        F.slice("sketch.at", 1, k).alias("low"),
-        F.slice("sketch.at", k + 1, k).alias("high"),
+        F.slice("at", 1, k).alias("low"),
+        F.slice("at", k + 1, k).alias("high"),
         F.array(*ranks).alias("ranks"),
     )
 
@@ -88,9 +89,7 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     # The broadcast side has one row per column of the input.
     in_slot = total([F.when(F.col("value") > F.col("high")[i], 1).otherwise(0) for i in range(k)])
     counts = (
-        values.unpivot([], columns, "feature", "value")
-        .filter(F.col("value").isNotNull())
-        .join(F.broadcast(brackets), "feature")
+        long.join(F.broadcast(brackets), "feature")
         .withColumn("slot", in_slot)
         .withColumn("candidate", F.when(F.col("value") >= F.get("low", F.col("slot")), F.col("value")))
         .groupBy("feature", "slot", "candidate")
@@ -116,11 +115,11 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     found = ranked.groupBy("feature").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("rank_asked.at"), F.col("found")))).alias("found"))
     position = {original: i for i, original in enumerate(order)}
-    # Again one row per column on either side.
-    names = values.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("feature"))
-    return names.join(F.broadcast(found), "feature", "left").select(
-        "feature",
-        F.when(F.col("found").isNotNull(), F.array(*[
-            F.col("found")[position[i]] for i in range(k)
-        ])).alias("quantiles"),
-    )
+    return _for_each(columns, found.select(
+        "feature", F.array(*[F.col("found")[position[i]] for i in range(k)]).alias("quantiles")))
+
+
+def _for_each(columns: Sequence[str], found: DataFrame) -> DataFrame:
+    """A row for every column, null where none was found; both sides have one row per column."""
+    names = found.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("feature"))
+    return names.join(F.broadcast(found), "feature", "left")

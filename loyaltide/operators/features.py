@@ -31,10 +31,6 @@ def _rfm_columns(now: Column, orders: Column) -> list[Column]:
     ]
 
 
-def _earliest(column: str) -> Column:
-    return F.min(F.struct(PURCHASED, "order_id", column))[column].alias(column)
-
-
 def _behaviour_columns() -> list[Column]:
     weekend = F.when(F.col("purchase_dow").isin(1, 7), 1).otherwise(0)
     return [
@@ -43,7 +39,6 @@ def _behaviour_columns() -> list[Column]:
         F.min("review_score").alias("min_review_score"),
         F.avg("num_payment_types").alias("avg_payment_types"),
         F.avg("avg_installments").alias("avg_installments"),
-        _earliest("primary_payment_type"),
         F.sum("total_freight").alias("total_freight"),
         F.avg(safe_ratio(F.col("total_freight"), F.col(SPEND), 0.0)).alias("avg_freight_ratio"),
         F.avg(weekend).alias("weekend_purchase_ratio"),
@@ -54,7 +49,6 @@ def _behaviour_columns() -> list[Column]:
         F.max("delivery_delay_days").alias("max_delivery_delay"),
         F.avg("num_items").alias("avg_items_per_order"),
         F.sum("num_items").alias("total_items_purchased"),
-        _earliest("customer_state"),
     ]
 
 
@@ -65,21 +59,38 @@ def rfm(df: DataFrame, reference_date: str | None = None) -> DataFrame:
 
 
 def behavioral_features(df: DataFrame) -> DataFrame:
-    """Review, payment, freight, timing, category, delivery and basket features per customer."""
-    return df.groupBy(CUSTOMER).agg(*_behaviour_columns())
+    """Review, payment, freight, timing, category, delivery and basket features per customer.
 
+    Payment type and state are those of the first order. They come from a trimmed
+    window, which leaves only numbers to the aggregation: Spark then combines
+    them by hashing instead of sorting whole rows.
+    """
+    grouped = df.groupBy(CUSTOMER).agg(*_behaviour_columns())
+    first = _first_order(df).withColumnRenamed(CUSTOMER, "_customer")
+    return grouped.join(first, F.col(CUSTOMER).eqNullSafe(F.col("_customer")), "left").drop("_customer")
 
-def _last_two_mean(df: DataFrame) -> DataFrame:
-    """Mean spend of the last two orders; map tasks keep at most two rows per customer."""
-    newest = Window.partitionBy(CUSTOMER).orderBy(F.col(PURCHASED).desc(), F.col("order_id").desc())
+
+def _nth_orders(df: DataFrame, columns: list[str], n: int, *order: Column) -> DataFrame:
+    """The first ``n`` orders per customer in the given order; map tasks keep no more than that."""
+    ranked = Window.partitionBy(CUSTOMER).orderBy(*order)
     return (
-        df.select(CUSTOMER, PURCHASED, "order_id", SPEND)
-        .withColumn("_rn", F.row_number().over(newest))
-        .filter(F.col("_rn") <= 2)
-        .groupBy(CUSTOMER).agg(F.avg(SPEND).alias("last_two"))
+        df.select(CUSTOMER, PURCHASED, "order_id", *columns)
+        .withColumn("_rn", F.row_number().over(ranked))
+        .filter(F.col("_rn") <= n)
+        .select(CUSTOMER, *columns)
     )
 
 
+def _first_order(df: DataFrame) -> DataFrame:
+    return _nth_orders(df, ["primary_payment_type", "customer_state"], 1, F.col(PURCHASED).asc(),
+                       F.col("order_id").asc())
+
+
+def _last_two_mean(df: DataFrame) -> DataFrame:
+    last = _nth_orders(df, [SPEND], 2, F.col(PURCHASED).desc(), F.col("order_id").desc())
+    return last.groupBy(CUSTOMER).agg(F.avg(SPEND).alias("last_two"))
+
+
 def _trend(last_two: Column, overall: Column) -> Column:
     return safe_ratio(last_two - overall, overall, 0.0)
 
@@ -113,14 +124,14 @@ def feature_groups(df: DataFrame, reference_date: str | None = None) -> DataFram
     """RFM, behaviour and trend of each customer in one row; rows without customer are left out.
 
     ``df`` has one row per order, so plain counts give the order frequency and RFM
-    and behaviour share one aggregation. The trend takes its overall mean from it,
-    and both sides of the remaining join are partitioned by customer already.
+    and behaviour share one aggregation. The trend takes its overall mean from it.
+    All sides of the joins come out partitioned by customer already.
     """
     known = df.filter(F.col(CUSTOMER).isNotNull())
     base = known.groupBy(CUSTOMER).agg(
         *_rfm_columns(reference_time(df, reference_date), F.count("order_id")), *_behaviour_columns())
     return (
-        base.join(_last_two_mean(known), CUSTOMER, "left")
+        base.join(_first_order(known), CUSTOMER).join(_last_two_mean(known), CUSTOMER, "left")
         .withColumn("spend_trend", F.coalesce(_trend(F.col("last_two"), F.col("avg_order_value")), F.lit(0.0)))
         .withColumn("std_review_score", F.coalesce("std_review_score", F.lit(0.0)))
         .drop("last_two")

@@ -118,7 +118,9 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
     if wanted not in parts:
         raise ValueError(f"{path} has no version {wanted}")
     folders = [f"{path}/version={v}" for v in sorted(parts)]
-    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).drop("version")
+    # Only appends can differ in columns: a single folder needs no look at all its footers.
+    reader = spark.read.option("mergeSchema", len(folders) > 1).option("basePath", path)
+    return reader.parquet(*folders).drop("version")
 
 
 # --- writes ------------------------------------------------------------------

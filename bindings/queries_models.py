@@ -84,7 +84,7 @@ def batch_score(t: Tables) -> DataFrame:
         "customer_unique_id", "churn_label", "prediction", "churn_probability", "risk_tier")
 
 
-@query()
+@query("SELECT count(*) AS customers, CAST(0 AS DOUBLE) AS largest_gap FROM v_features")
 def model_roundtrip(t: Tables) -> DataFrame:
     """Largest difference between the scores of a model and of its saved and loaded copy."""
     model, path = _model(t), scratch_path(t.spark, "model")
@@ -125,6 +125,30 @@ def stream_recent_predictions(t: Tables) -> DataFrame:
     return score.recent_predictions(t.spark, _scored_stream(t), 100).drop("processed_at")
 
 
+@query("SELECT count(*) AS events, CAST(0 AS BIGINT) AS unmatched FROM events")
+def stream_matches_batch(t: Tables) -> DataFrame:
+    """Events scored by the stream, and those whose tier and prediction the batch scores otherwise."""
+    landing, model, path = _landing(t), _model(t), scratch_path(t.spark, "predictions")
+    streamed = score.stream_score(score.event_source(t.spark, landing), model)
+    score.start_sink(
+        streamed, "parquet", path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
+    columns = ["customer_unique_id", "event_timestamp", "event_type", "prediction", "risk_tier"]
+    batch = score.batch_score(t.spark.read.parquet(landing), model).select(*columns)
+    both = t.spark.read.parquet(path).select(*columns, F.lit(1).alias("n")).unionByName(
+        batch.withColumn("n", F.lit(-1)))
+    per_event = both.groupBy(*columns).agg(
+        F.sum("n").alias("surplus"), F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("streamed"))
+    return per_event.agg(
+        F.sum("streamed").alias("events"), F.sum(F.abs("surplus")).alias("unmatched"))
+
+
+@query("SELECT count(*) AS predictions FROM events")
+def stream_health_total(t: Tables) -> DataFrame:
+    """Predictions counted by the health records of all batches."""
+    counted = stream_health(t).filter(F.col("metric") == "total_predictions")
+    return counted.agg(F.sum("value").cast("bigint").alias("predictions"))
+
+
 @query()
 def stream_health(t: Tables) -> DataFrame:
     scored = score.stream_score(score.event_source(t.spark, _landing(t)), _model(t))

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyaltide.operators import orders as order_ops
 from loyaltide.plans.pipelines import transform_pipeline, user_features
-from loyaltide.plans.staging import stage
+from loyaltide.plans.staging import scratch_path
 
 # Order states of the given data that stand for a sale, and for a delivered order.
 SOLD = ("F", "O")
@@ -30,7 +31,7 @@ class Tables:
     """Views over one folder of given tables."""
 
     # Tables that several queries start from, written once per session and folder.
-    _stored: dict[tuple[str, str, str], DataFrame] = {}
+    _stored: dict[tuple[str, str, str], str] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -45,9 +46,12 @@ class Tables:
 
     def _stored_table(self, name: str, build) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in self._stored:
-            self._stored[key] = stage(build(), name)
-        return self._stored[key]
+        try:
+            return self.spark.read.parquet(self._stored[key])
+        except (KeyError, AnalysisException):  # not stored yet, or cleaned away since
+            self._stored[key] = scratch_path(self.spark, name)
+            build().write.parquet(self._stored[key])
+            return self.spark.read.parquet(self._stored[key])
 
     @property
     def orders(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loyaltide.functions.columns import as_list, finite_double, numeric_columns, string_columns, total
+from loyaltide.functions.columns import as_list, numeric_columns, string_columns, total
 from loyaltide.functions.quantiles import column_quantiles
 from loyaltide.plans.staging import stage
 
@@ -45,8 +45,8 @@ def _both(reference: DataFrame, current: DataFrame, columns: Sequence[Column | s
 
 
 def _long(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(side, feature, value) of both tables, NaN as null."""
-    both = _both(reference, current, [finite_double(c) for c in columns])
+    """(side, feature, value) of both tables; NaN stays, above all numbers."""
+    both = _both(reference, current, [F.col(c).cast("double").alias(c) for c in columns])
     return both.unpivot(["side"], list(columns), "feature", "value")
 
 
@@ -125,7 +125,7 @@ def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -
     the running counts inside each. No task sees a whole column.
     """
     counted = (
-        _long(reference, current, columns).filter(F.col("value").isNotNull())
+        _long(reference, current, columns).filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("feature", "value").agg(_rows(_side(0)).alias("ref_rows"), _rows(_side(1)).alias("cur_rows"))
     )
     ranged = stage(

@@ -27,8 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path under the shared folder."""
-    return f"{shared_dir(spark)}/loyaltide/{label}-{uuid.uuid4().hex}"
+    """A fresh, never reused path under the shared folder, grouped by application for cleaning up."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/loyaltide/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

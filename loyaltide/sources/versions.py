@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyaltide.functions.columns import as_list
+from loyaltide.plans.staging import stage
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -189,8 +190,12 @@ def migrate_all(spark: SparkSession, sources: Mapping[str, str], root: str) -> d
 
 def upsert(updates: DataFrame, path: str, keys: str | Sequence[str] = FEATURE_KEY,
            partition_by: Sequence[str] | None = None) -> int:
-    """Replace rows that share a key with an update and add the other updates."""
-    keys = as_list(keys)
+    """Replace rows that share a key with an update and add the other updates.
+
+    The updates are staged: they are needed three times, and must be the same
+    rows each time.
+    """
+    keys, updates = as_list(keys), stage(updates, "updates")
     _require_unique(updates, keys)
     if not exists(updates.sparkSession, path):
         return write_version(updates, path, partition_by=partition_by, kind="upsert")

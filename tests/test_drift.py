@@ -33,6 +33,13 @@ def test_nulls_weigh_on_the_shares_and_may_have_a_bin(spark):
     assert with_bin > without
 
 
+def test_nan_lies_above_all_numbers(spark):
+    reference = numbers(spark, *map(float, range(100)))
+    with_nan = numbers(spark, *map(float, range(90)), *[float("nan")] * 10)
+    assert score(drift.drift_psi(reference, with_nan, ["x"])) == 0.0
+    assert score(drift.drift_ks(reference, with_nan, ["x"])) == pytest.approx(0.1, abs=1e-6)
+
+
 def test_all_null_and_empty_tables(spark):
     nothing, some = numbers(spark, None, None), numbers(spark, 1.0, 2.0, 3.0)
     assert score(drift.drift_psi(nothing, some, ["x"])) == 0.0

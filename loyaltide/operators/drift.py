@@ -207,6 +207,8 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str
     shared = [c for c in reference.columns if c in current.columns]
     numeric = [c for c in numeric_columns(reference, [label_col]) if c in shared] if numeric is None else numeric
     categorical = [c for c in string_columns(reference) if c in shared] if categorical is None else categorical
+    if not numeric and not categorical:
+        raise ValueError("the two tables share no numeric or string column")
     parts = []
     if numeric:
         # One row per column on both sides.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loyaltide.functions.columns import CHURN_DAYS
 from loyaltide.operators import clean, drift, features
 from loyaltide.plans.staging import stage
+from loyaltide.sources.metrics import append_metrics, as_metrics
 
 KEYS = ("order_id", "customer_unique_id")
 
@@ -43,16 +44,24 @@ def user_features(orders: DataFrame, reference_date: str | None = None, threshol
 
 
 def drift_cycle(reference: DataFrame, current: DataFrame, train: Callable[[DataFrame], DataFrame],
-                label_col: str = "churn_label", **decision) -> DataFrame:
+                label_col: str = "churn_label", metrics_path: str | None = None, run_id: str = "drift-cycle",
+                **decision) -> DataFrame:
     """Drift report, decision and, if so decided, a training on the current rows.
 
-    Returns the decision row, with the training metrics as a struct if there was one.
+    Returns the decision row, with the training metrics as a struct if there was
+    one. Report, decision and metrics are recorded under ``metrics_path`` if given.
     """
     report = stage(drift.drift_report(reference, current, label_col=label_col), "drift-report")
     verdict = stage(
         drift.retrain_decision(report, drift.drift_label(reference, current, label_col), **decision),
         "retrain-decision")
-    if not verdict.first()["retrain"]:
-        return verdict
-    metrics = stage(train(current), "retrain-metrics")
-    return verdict.withColumn("metrics", metrics.select(F.struct("*")).scalar())
+    records = [as_metrics(report, "drift", run_id, F.col("feature")), as_metrics(verdict, "retrain", run_id)]
+    retrain = verdict.first()["retrain"]
+    if retrain:
+        metrics = stage(train(current), "retrain-metrics")
+        records.append(as_metrics(metrics, "train", run_id))
+        verdict = verdict.withColumn("metrics", metrics.select(F.struct("*")).scalar())
+    if metrics_path:
+        for record in records:
+            append_metrics(record, metrics_path)
+    return verdict

@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from loyaltide.operators import drift
+from loyaltide.plans.pipelines import drift_cycle
+from loyaltide.plans.staging import scratch_path
+from loyaltide.sources.metrics import read_metrics
 
 
 def numbers(spark, *values):
@@ -119,3 +122,31 @@ def test_report_covers_numbers_and_strings(spark):
     df = spark.createDataFrame([(1.0, "a", 1), (2.0, "b", 0)], "x double, c string, churn_label int")
     found = {r.feature: (r.method, r.status) for r in drift.drift_report(df, df).collect()}
     assert found == {"x": ("psi", "SAFE"), "c": ("cat", "SAFE")}
+
+
+def test_report_needs_a_shared_column(spark):
+    with pytest.raises(ValueError):
+        drift.drift_report(spark.createDataFrame([(1.0,)], "a double"), spark.createDataFrame([(1.0,)], "b double"))
+
+
+def test_cycle_records_what_it_decides(spark):
+    path = scratch_path(spark, "cycle")
+    reference = spark.range(1000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("churn_label"))
+    shifted = reference.withColumn("x", F.col("x") + 5000)
+    trainings = []
+
+    def train(rows):
+        trainings.append(rows.count())
+        return spark.createDataFrame([(0.8,)], "auc_roc double")
+
+    calm = drift_cycle(reference, reference, train, metrics_path=path, run_id="calm").first()
+    assert (calm["retrain"], trainings) == (False, [])
+    alarmed = drift_cycle(reference, shifted, train, metrics_path=path, run_id="alarmed").first()
+    assert (alarmed["reason"], alarmed["metrics"]["auc_roc"], trainings) == ("drift rate", 0.8, [1000])
+    kinds = read_metrics(spark, path).select("run_id", "kind").distinct().collect()
+    assert {tuple(k) for k in kinds} == {
+        ("calm", "drift"), ("calm", "retrain"), ("alarmed", "drift"), ("alarmed", "retrain"), ("alarmed", "train")}
+    # The recorded training is what the next decision takes the model's age from.
+    aged = drift_cycle(reference, reference, train, trained=read_metrics(spark, path, "train"),
+                       as_of=F.date_add(F.current_date(), 31)).first()
+    assert aged["reason"] == "model age"

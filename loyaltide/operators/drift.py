@@ -23,6 +23,10 @@ MAX_DRIFT_RATE = 0.20
 MAX_LABEL_DRIFT = 0.05
 MAX_MODEL_AGE_DAYS = 30
 
+# Buckets (a power of two) and sketch accuracy of the KS statistic: they set the work, not the result.
+KS_BUCKETS = 1024
+KS_ACCURACY = 5_000
+
 
 def reference_current_split(df: DataFrame, time_col: str, cut: Column) -> tuple[DataFrame, DataFrame]:
     """Rows before the cut and rows from the cut on."""
@@ -117,37 +121,61 @@ def drift_quantile_gap(reference: DataFrame, current: DataFrame, columns: Sequen
         "feature", F.round(F.coalesce(gap, F.lit(0.0)), 6).alias("quantile_gap"))
 
 
+def _with_bucket(df: DataFrame, buckets: int) -> DataFrame:
+    """Adds the number of ``edges`` below ``value``, found by bisection in ``log2(buckets)`` projections."""
+    df, step = df.withColumn("bucket", F.lit(0)), buckets // 2
+    while step:
+        beyond = F.col("value") > F.get("edges", F.col("bucket") + (step - 1))
+        df = df.withColumn("bucket", F.col("bucket") + F.when(beyond, step).otherwise(0))
+        step //= 2
+    return df
+
+
 def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic: the largest distance of the two empirical CDFs.
 
-    Rows are grouped by value, then ranged by (column, value) into buckets that
-    are written once, so their numbers hold for both uses: their totals, and
-    the running counts inside each. No task sees a whole column.
+    Rows are first only counted per bucket of values, which gives the distance at
+    every bucket's end and a limit to what it can reach inside. Values are
+    shuffled, grouped and accumulated only for buckets whose limit lies above the
+    best distance known by then. The buckets are even shares of the rows of both
+    tables, so no task sees a whole column; a value of many rows is one row
+    after grouping.
     """
-    counted = (
-        _long(reference, current, columns).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("feature", "value").agg(_rows(_side(0)).alias("ref_rows"), _rows(_side(1)).alias("cur_rows"))
-    )
-    ranged = stage(
-        counted.repartitionByRange("feature", "value").withColumn("bucket", F.spark_partition_id()), "ks-buckets")
+    edges = stage(column_quantiles(
+        _both(reference, current, columns), columns, [i / KS_BUCKETS for i in range(1, KS_BUCKETS)], KS_ACCURACY,
+    ).filter(F.col("quantiles").isNotNull()).withColumnRenamed("quantiles", "edges"), "ks-edges")
+    known = _long(reference, current, columns).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    placed = _with_bucket(known.join(F.broadcast(edges), "feature"), KS_BUCKETS).drop("edges")
+
+    # At most KS_BUCKETS rows per column from here to the contenders.
     before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     feature = Window.partitionBy("feature")
-    # At most columns * partitions rows.
-    totals = ranged.groupBy("feature", "bucket").agg(
-        F.sum("ref_rows").alias("ref_in"), F.sum("cur_rows").alias("cur_in")
-    ).select(
-        "feature", "bucket",
-        *[F.coalesce(F.sum(f"{s}_in").over(before), F.lit(0)).alias(f"{s}_before") for s in ("ref", "cur")],
-        *[F.sum(f"{s}_in").over(feature).alias(f"{s}_all") for s in ("ref", "cur")],
-    )
+    spans = placed.groupBy("feature", "bucket").agg(
+        _rows(_side(0)).alias("ref_in"), _rows(_side(1)).alias("cur_in")
+    ).select("feature", "bucket", *[
+        column for s in ("ref", "cur") for column in (
+            F.sum(f"{s}_in").over(feature).alias(f"{s}_all"),
+            F.coalesce(F.sum(f"{s}_in").over(before), F.lit(0)).alias(f"{s}_before"),
+            F.col(f"{s}_in"))
+    ]).filter((F.col("ref_all") > 0) & (F.col("cur_all") > 0))
+    start = F.col("ref_before") / F.col("ref_all") - F.col("cur_before") / F.col("cur_all")
+    ref_step, cur_step = F.col("ref_in") / F.col("ref_all"), F.col("cur_in") / F.col("cur_all")
+    spans = stage(
+        spans.withColumns({
+            "limit": F.greatest(F.abs(start + ref_step), F.abs(start - cur_step)),
+            "at_end": F.abs(start + ref_step - cur_step)})
+        .withColumn("best", F.max("at_end").over(feature)), "ks-buckets")
+
+    contenders = F.broadcast(spans.filter(F.col("limit") > F.col("best")))
+    values = placed.join(contenders, ["feature", "bucket"], "left_semi").groupBy("feature", "bucket", "value").agg(
+        _rows(_side(0)).alias("ref_rows"), _rows(_side(1)).alias("cur_rows"))
     upto = Window.partitionBy("feature", "bucket").orderBy("value")
-    cdf = {
-        s: (F.col(f"{s}_before") + F.sum(f"{s}_rows").over(upto)) / F.col(f"{s}_all") for s in ("ref", "cur")
-    }
-    comparable = (F.col("ref_all") > 0) & (F.col("cur_all") > 0)
-    gaps = ranged.join(F.broadcast(totals), ["feature", "bucket"]).filter(comparable).select(
+    reached = values.select("feature", "bucket", *[F.sum(f"{s}_rows").over(upto).alias(s) for s in ("ref", "cur")])
+    cdf = {s: (F.col(f"{s}_before") + F.col(s)) / F.col(f"{s}_all") for s in ("ref", "cur")}
+    inside = reached.join(contenders, ["feature", "bucket"]).select(
         "feature", F.abs(cdf["ref"] - cdf["cur"]).alias("gap"))
-    return gaps.groupBy("feature").agg(F.round(F.max("gap"), 6).alias("ks"))
+    ends = spans.select("feature", F.col("best").alias("gap"))
+    return ends.unionByName(inside).groupBy("feature").agg(F.round(F.max("gap"), 6).alias("ks"))
 
 
 def drift_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -51,8 +51,10 @@ def test_all_null_and_empty_tables(spark):
     assert drift.drift_ks(nothing, some, ["x"]).isEmpty()
 
 
-def test_ks_is_the_largest_gap_of_the_two_cdfs(spark):
-    rng = random.Random(3)
+@pytest.mark.parametrize("buckets", [4, 64, 1024])
+def test_ks_is_the_largest_gap_of_the_two_cdfs(spark, monkeypatch, buckets):
+    monkeypatch.setattr(drift, "KS_BUCKETS", buckets)
+    rng = random.Random(buckets)
     a = [round(rng.gauss(0, 1), 1) for _ in range(3000)] + [0.5] * 1500
     b = [round(rng.gauss(0.4, 1.5), 1) for _ in range(2000)]
     sa, sb = sorted(a), sorted(b)

@@ -2,7 +2,7 @@
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the number of local cores.
 The builds of the order table and the feature store run from the given tables.
-Reports, drift and models read those two as stored tables, as they would in
+Reports and models read those two as stored tables, as they would in
 daily use; storing them is timed on its own as ``store_tables``.
 """
 

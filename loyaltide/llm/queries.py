@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyaltide.llm import bpe, chat, exact_dedup, merkle, mixing, sharding, simhash, tokenfile
+from loyaltide.llm import bpe, chat, exact_dedup, merkle, mixing, pii, quality, sharding, simhash, tokenfile
 from loyaltide.llm.common import read
 from loyaltide.plans.staging import scratch_path
 
@@ -177,3 +177,25 @@ def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokenfile.write_tokens(read(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenfile.documents(tokenfile.segments(spark, path))
+
+
+@query()
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality, learned from labels of four fifths of them."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, folder, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query()
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's personal data, and the words that give it away."""
+    found = pii.spans(read(spark, folder, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{pii.KINDS[kind]}")
+
+    return found.select(F.col("id").alias("doc_id"), *map(count, range(4)),
+                        F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("all").alias("spans"))

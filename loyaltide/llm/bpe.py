@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import quoted, text_of
+from loyaltide.llm.common import mapped, quoted, text_of
 from loyaltide.llm.pieces import PieceEncoder
 
 WORDS = 50_000  # new words encoded by one query
@@ -146,17 +146,17 @@ def _mapped(df: DataFrame, ranks_path: str, pattern: str, source: str, added: st
     """``df`` and a binary column ``added`` that ``step`` makes from column ``source``, with the worker's coder."""
     with open(ranks_path, "rb") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
-    names = [*df.columns, added]
+    at_source, columns = df.columns.index(source), [f"c{i}" for i in range(len(df.columns) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = kept_coder(shared.value, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                values = step(coder, part.column(part.schema.get_field_index(source)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], names)
+                values = step(coder, part.column(at_source).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], columns)
 
-    return df.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in [*df.dtypes, (added, "binary")]))
+    return mapped(df, run, (added, "binary"))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

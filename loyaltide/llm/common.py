@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loyaltide.plans.staging import stage
 
@@ -42,14 +41,15 @@ def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(dropped.select(ROW), ROW, "left_anti").drop(ROW)
 
 
-def over_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-                 schema: T.StructType | str) -> DataFrame:
-    """Apply ``make()``'s function to each Arrow batch of ``df``; it is made once per task."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            done = step(batch)
-            if done is not None:
-                yield done
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+           added: tuple[str, str] | None = None, dropped: int = 0) -> DataFrame:
+    """``mapInArrow`` with all columns, whatever they are called: inside, column i is ``c<i>``.
 
-    return df.mapInArrow(run, schema)
+    ``added`` names a column behind the others, and the last ``dropped`` columns are not given back.
+    """
+    names = df.columns[:len(df.columns) - dropped]
+    kinds = [f"c{i} {kind}" for i, (_, kind) in enumerate(df.dtypes[:len(names)])]
+    if added:
+        kinds.append(f"c{len(df.columns)} {added[1]}")
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, ", ".join(kinds)).toDF(*names, *([added[0]] if added else []))

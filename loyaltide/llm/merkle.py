@@ -28,8 +28,7 @@ def _digest(text: Column) -> Column:
 
 
 def _paragraph(text: Column) -> Column:
-    leaves = F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), _digest)
-    return leaves
+    return F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), _digest)
 
 
 def sections_of(text: Column) -> Column:

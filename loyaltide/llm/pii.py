@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, numbered, quoted, text_of
+from loyaltide.llm.common import ROW, mapped, numbered, quoted, text_of
 
 KINDS = ("email", "ip", "card", "phone", "word")
 NEAR = 6  # words on either side of a find
@@ -126,12 +126,12 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def word_counts(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
     """Columns word, documents: in how many rows each word of ``wanted`` occurs, over all rows."""
-    hashed = F.pmod(F.xxhash64("word"), F.lit(BITMAP))
+    hashed = F.pmod(F.xxhash64("word"), F.lit(BITMAP)) + 1  # Spark numbers the values of a bitmap from 1
     chunks = wanted.select(hashed.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("chunk")) \
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect()  # BITMAP bits at most
     bits = np.zeros(BITMAP + (1 << 16), dtype=np.uint8)
     for row in chunks:
-        at = (row.chunk - 1) * 32768  # chunk n holds the values of 32,768 bits that end with n * 32,768
+        at = (row.chunk - 1) * 32768  # bits of a chunk
         part = np.unpackbits(np.frombuffer(bytes(row.bits), dtype=np.uint8), bitorder="little")
         bits[at:at + len(part)] |= part
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
@@ -193,12 +193,12 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     rows = numbered(docs, "rows")
     marks = spans(rows.drop(id_col).withColumnRenamed(ROW, "__id"), "__id", text_col, **limits) \
         .select(F.col("id").alias(ROW), "all", "disclosure")
-    names, at = docs.columns, docs.columns.index(text_col)
+    at, columns = docs.columns.index(text_col), [f"c{i}" for i in range(len(docs.columns))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, marked, shares in zip(*(batch.column(i).to_pylist() for i in (at, len(names), len(names) + 1))):
+            for text, marked, shares in zip(*(batch.column(i).to_pylist() for i in (at, len(columns), len(columns) + 1))):
                 if text is not None:
                     parts, end, shares = [], 0, dict(shares or [])
                     for m in marked:
@@ -210,9 +210,10 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
                     text = "".join([*parts, text[end:]])
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i)
-                                              for i in range(len(names))], names)
+                                              for i in range(len(columns))], columns)
 
-    return rows.join(marks, ROW).select(*[quoted(n) for n in names], "all", "disclosure").mapInArrow(run, docs.schema)
+    marked = rows.join(marks.withColumnsRenamed({"all": "__all", "disclosure": "__shares"}), ROW)
+    return mapped(marked.select(*map(quoted, docs.columns), "__all", "__shares"), run, dropped=2)
 
 
 def listed(column: str):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import quoted, text_of
+from loyaltide.llm.common import mapped, quoted, text_of
 
 SHAPES, STRINGS = 2048, 2048
 SAME, DISTINCT = (0.02, 0.1, 0.3, 0.6), (0.5, 0.3, 0.1)  # levels of repeated neighbours, of distinct words
@@ -166,16 +166,13 @@ def _truncated(rows: np.ndarray, dimensions: int, extra: int = 16, rounds: int =
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` and the score of each text, with all columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    text_at = names.index(text_col)
+    text_at, columns = docs.columns.index(text_col), [f"c{i}" for i in range(len(docs.columns) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 counts = np.stack([terms(t.as_py() or "") for t in part.column(text_at)])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(shared.value.score(counts))],
-                                                 [*names, score_col])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(shared.value.score(counts))], columns)
 
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, `{score_col}` double")
+    return mapped(docs, run, (score_col, "double"))

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from loyaltide.llm.common import mapped, quoted, text_of
 from loyaltide.llm.pieces import PieceEncoder
 
-WORDS = 50_000  # new words encoded by one query
-TOKENS = 1_000_000  # token positions decoded by one query
+WORDS = 25_000  # new words encoded by one query
+TOKENS = 500_000  # token positions decoded by one query
 ROWS = 500  # texts of an Arrow batch handled at once
 
 ENCODE = """
@@ -69,7 +69,7 @@ class Coder:
                 if left is not None and right is not None:
                     pairs.append(left << 32 | right)
                     merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         self.db.register("m", pa.table({"pair": pa.array(pairs, pa.uint64()), "merged": pa.array(merged, pa.uint64())}))
         self.db.register("v", pa.table({"id": pa.array(self.ids.values(), pa.uint32()),
                                         "bytes": pa.array(self.ids, pa.binary())}))

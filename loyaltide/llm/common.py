@@ -41,12 +41,24 @@ def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(dropped.select(ROW), ROW, "left_anti").drop(ROW)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python 1,000 rows at a time, unless the session has a number of its own.
+
+    Spark's default of 10,000 rows suits numbers; with whole texts it makes a
+    batch, which both sides hold at once, ten times as large as need be.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
            added: tuple[str, str] | None = None, dropped: int = 0) -> DataFrame:
     """``mapInArrow`` with all columns, whatever they are called: inside, column i is ``c<i>``.
 
     ``added`` names a column behind the others, and the last ``dropped`` columns are not given back.
     """
+    small_batches(df.sparkSession)
     names = df.columns[:len(df.columns) - dropped]
     kinds = [f"c{i} {kind}" for i, (_, kind) in enumerate(df.dtypes[:len(names)])]
     if added:

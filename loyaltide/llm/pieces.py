@@ -15,8 +15,8 @@ SPACE = "\t-\r \x85\xa0  -     　"
 _COARSE = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 _CUT = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 LONG = 1 << 20  # characters cut at once
-KNOWN = 300_000  # pieces a worker keeps
-BLOCK = 4 << 20  # characters whose new pieces are encoded together
+KNOWN = 250_000  # pieces a worker keeps
+BLOCK = 2 << 20  # characters whose new pieces are encoded together
 
 
 def _plain(piece: str) -> bool:

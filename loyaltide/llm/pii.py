@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, mapped, numbered, quoted, text_of
+from loyaltide.llm.common import ROW, mapped, numbered, quoted, small_batches, text_of
 
 KINDS = ("email", "ip", "card", "phone", "word")
 NEAR = 6  # words on either side of a find
@@ -103,6 +103,7 @@ def words_near(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stored: ROW, id, copy (digest of the text), spans, near; texts are left behind."""
+    small_batches(docs.sparkSession)
     rows = docs.select(quoted(id_col).alias("id"), text_of(text_col).alias("text"))
     span = pa.list_(pa.struct([("begin", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     word = pa.list_(pa.struct([("entity", pa.int64()), ("word", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))

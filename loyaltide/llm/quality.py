@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import mapped, quoted, text_of
+from loyaltide.llm.common import mapped, quoted, small_batches, text_of
 
 SHAPES, STRINGS = 2048, 2048
 SAME, DISTINCT = (0.02, 0.1, 0.3, 0.6), (0.5, 0.3, 0.1)  # levels of repeated neighbours, of distinct words
@@ -121,6 +121,7 @@ def held_out(id_column: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         most: int = 4000, dimensions: int = 64, neighbours: int = 15, sharpness: float = 8.0) -> Model:
     """Learn from at most ``most`` labelled rows of ``docs``."""
+    small_batches(docs.sparkSession)
     known = labels.select(quoted(id_col).alias("id"), quoted(label_col).alias("label")).where(
         F.col("label").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"))
     drawn = known.orderBy(F.xxhash64("id"), "id").limit(most)

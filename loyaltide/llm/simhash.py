@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, numbered, quoted, text_of, without_rows
+from loyaltide.llm.common import ROW, numbered, quoted, small_batches, text_of, without_rows
 from loyaltide.plans.staging import stage
 
 BITS = 64
@@ -77,6 +77,7 @@ def fingerprints(rows: DataFrame, keep: list[str]) -> DataFrame:
                                 count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), _signed(found)], [*keep, "fp"])
 
+    small_batches(rows.sparkSession)
     kinds = ", ".join(f"`{k}` {dict(rows.dtypes)[k]}" for k in keep)
     return rows.select(*keep, "text").mapInArrow(run, f"{kinds}, fp long")
 

@@ -145,12 +145,22 @@ def metrics_append(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "run-metrics")
     per_status = t.raw("orders").groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("revenue"))
-    for status in ("F", "O", "P"):
-        one = per_status.filter(F.col("o_orderstatus") == status)
-        metrics.append_metrics(metrics.as_metrics(one, "order_status", "run_1", F.col("o_orderstatus")), path)
+    metrics.append_metrics(metrics.as_metrics(per_status, "order_status", "run_1", F.col("o_orderstatus")), path)
     return metrics.read_metrics(t.spark, path, "order_status").select("kind", "run_id", "entity", "metric", "value")
 
 
+@query("""
+SELECT lpad(CAST(o_orderkey % 12 AS VARCHAR), 3, '0') AS customer_state, count(*) AS orders
+FROM orders WHERE o_orderkey % 12 IN (1, 10) GROUP BY 1""")
+def partition_text_keys(t: Tables) -> DataFrame:
+    """Partition values with leading zeros, written, filtered and read back as text."""
+    path = scratch_path(t.spark, "text-keys")
+    key = F.lpad((F.col("o_orderkey") % 12).cast("string"), 3, "0")
+    files.write_by_state(t.raw("orders").select("o_orderkey", key.alias("customer_state")), path)
+    return files.read_states(t.spark, path, ["001", "010", "1"]).groupBy("customer_state").agg(
+        F.count(F.lit(1)).alias("orders"))
+
+
 # --- profiles of raw tables --------------------------------------------------
 
 @query("""

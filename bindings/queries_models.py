@@ -50,7 +50,10 @@ def train_cv(t: Tables) -> DataFrame:
     return _trained(t, "lr", cross_validate=True)
 
 
-@query()
+@query("""
+SELECT customer_unique_id, CASE WHEN CAST('0x' || substr(md5(customer_unique_id || '|42'), 1, 8) AS BIGINT) % 10000 < 8000
+  THEN 'train' ELSE 'test' END AS split
+FROM v_features""")
 def train_test_split(t: Tables) -> DataFrame:
     return train.with_split(t.features).select("customer_unique_id", "split")
 
@@ -111,7 +114,7 @@ def _scored_stream(t: Tables) -> str:
     """Score the landing folder to the end and give the path of the predictions."""
     scored = score.stream_score(score.event_source(t.spark, _landing(t)), _model(t))
     path = scratch_path(t.spark, "predictions")
-    score.start_sink(scored, "parquet", path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
+    score.start_sink(scored, path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
     return path
 
 
@@ -131,7 +134,7 @@ def stream_matches_batch(t: Tables) -> DataFrame:
     landing, model, path = _landing(t), _model(t), scratch_path(t.spark, "predictions")
     streamed = score.stream_score(score.event_source(t.spark, landing), model)
     score.start_sink(
-        streamed, "parquet", path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
+        streamed, path, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
     columns = ["customer_unique_id", "event_timestamp", "event_type", "prediction", "risk_tier"]
     batch = score.batch_score(t.spark.read.parquet(landing), model).select(*columns)
     both = t.spark.read.parquet(path).select(*columns, F.lit(1).alias("n")).unionByName(

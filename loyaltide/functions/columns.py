@@ -45,6 +45,8 @@ def churn_flag(recency_days: Column, threshold_days: int = CHURN_DAYS) -> Column
 
 
 def tier_of(score: Column) -> Column:
+    """The risk tier of a score; one that is missing, null or NaN, reaches no bound and has the lowest tier."""
+    score = F.nullif(score.cast("double"), F.lit(float("nan")))
     (first, bound), *rest = RISK_TIERS
     tier = F.when(score >= bound, first)
     for name, bound in rest:

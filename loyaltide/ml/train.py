@@ -23,8 +23,9 @@ PARALLEL_FITS = 2
 def with_split(df: DataFrame, key: str | Sequence[str] = "customer_unique_id", share: float = TRAIN_SHARE,
                seed: int = SEED) -> DataFrame:
     """Adds ``split``, train or test by a hash of the key: the same however the rows are partitioned."""
-    bucket = F.pmod(F.xxhash64(*as_list(key), F.lit(seed)), F.lit(10_000))
-    return df.withColumn("split", F.when(bucket < int(share * 10_000), "train").otherwise("test"))
+    digest = F.md5(F.concat_ws("|", *as_list(key), F.lit(seed)))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
+    return df.withColumn("split", F.when(bucket < round(share * 10_000), "train").otherwise("test"))
 
 
 def train_test_split(df: DataFrame, key: str | Sequence[str] = "customer_unique_id",

@@ -35,7 +35,7 @@ def reference_current_split(df: DataFrame, time_col: str, cut: Column) -> tuple[
 
 def hash_split(df: DataFrame, key: str | Sequence[str], share: float = 0.7) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the key: the same at every run, and keeps a key's rows together."""
-    low = F.pmod(F.xxhash64(*as_list(key)), F.lit(10_000)) < int(share * 10_000)
+    low = F.pmod(F.xxhash64(*as_list(key)), F.lit(10_000)) < round(share * 10_000)
     return df.filter(low), df.filter(~low)
 
 
@@ -175,7 +175,10 @@ def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -
     inside = reached.join(contenders, ["feature", "bucket"]).select(
         "feature", F.abs(cdf["ref"] - cdf["cur"]).alias("gap"))
     ends = spans.select("feature", F.col("best").alias("gap"))
-    return ends.unionByName(inside).groupBy("feature").agg(F.round(F.max("gap"), 6).alias("ks"))
+    # A column without values on one side has no distance, but a row.
+    all_columns = reference.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    return ends.unionByName(inside).unionByName(all_columns.withColumn("gap", F.lit(None).cast("double"))) \
+        .groupBy("feature").agg(F.round(F.max("gap"), 6).alias("ks"))
 
 
 def drift_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -260,7 +263,9 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str
 
 
 def retrain_decision(report: DataFrame, label: DataFrame | None = None, trained: DataFrame | None = None,
-                     as_of: Column | None = None) -> DataFrame:
+                     as_of: Column | None = None, max_drifted: int = MAX_DRIFTED_FEATURES,
+                     max_rate: float = MAX_DRIFT_RATE, max_label_drift: float = MAX_LABEL_DRIFT,
+                     max_age_days: int = MAX_MODEL_AGE_DAYS) -> DataFrame:
     """Whether to retrain, and the first reason that applies.
 
     ``label`` is a :func:`drift_label` row. ``trained`` holds the times of past
@@ -276,10 +281,10 @@ def retrain_decision(report: DataFrame, label: DataFrame | None = None, trained:
                    trained.agg(F.max("recorded_at")).scalar())
         if trained is not None else F.lit(None))
     reason = (
-        F.when(F.col("drifted") >= MAX_DRIFTED_FEATURES, "drifted features")
-        .when(F.col("drift_rate") >= MAX_DRIFT_RATE, "drift rate")
-        .when(F.abs("label_drift") >= MAX_LABEL_DRIFT, "label drift")
-        .when(F.col("model_age_days") >= MAX_MODEL_AGE_DAYS, "model age")
+        F.when(F.col("drifted") >= max_drifted, "drifted features")
+        .when(F.col("drift_rate") >= max_rate, "drift rate")
+        .when(F.abs("label_drift") >= max_label_drift, "label drift")
+        .when(F.col("model_age_days") >= max_age_days, "model age")
     )
     return (
         facts.withColumns({"label_drift": shift.cast("double"), "model_age_days": age.cast("int")})

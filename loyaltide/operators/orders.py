@@ -29,7 +29,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
         F.sum("value").alias("total_payment_value"),
         F.count("payment_type").alias("num_payment_types"),
         safe_ratio(F.sum("installments"), F.sum("counted")).alias("avg_installments"),
-        F.min(F.struct("payment_sequential", "payment_type"))["payment_type"].alias("primary_payment_type"),
+        F.min(F.struct(F.col("payment_sequential").isNull(), "payment_sequential", "payment_type"))["payment_type"].alias("primary_payment_type"),
     )
 
 

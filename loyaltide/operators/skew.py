@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyaltide.functions.columns import as_list
-from loyaltide.operators.profile import BROADCAST_LIMIT_MB, table_size_profile
+from loyaltide.operators.profile import BROADCAST_LIMIT_MB
 
 # Largest to mean rows per key from which a key counts as skewed or critical.
 SKEWED = 3.0
@@ -106,8 +106,9 @@ def salted_join(large: DataFrame, small: DataFrame, key: str, how: str = "inner"
     def marked(df: DataFrame) -> DataFrame:
         return df.join(F.broadcast(hot), key, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
+    # Null keys match nothing, so their rows may lie anywhere.
     salted = marked(large).withColumn(
-        "_salt", F.when(F.col("_hot"), salt_of(row_key or large.columns, buckets)).otherwise(0))
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt_of(row_key or large.columns, buckets)).otherwise(0))
     every_bucket = F.sequence(F.lit(0), F.lit(buckets - 1))
     repeated = marked(small).withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), every_bucket).otherwise(F.array(F.lit(0)))))
@@ -116,6 +117,10 @@ def salted_join(large: DataFrame, small: DataFrame, key: str, how: str = "inner"
 
 def broadcast_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
                    max_mb: float = BROADCAST_LIMIT_MB) -> DataFrame:
-    """Join with a broadcast lookup if its measured size is below ``max_mb``, else a plain join."""
-    measured = table_size_profile(lookup, "lookup", row_bytes=None).first()
-    return df.join(F.broadcast(lookup) if measured["estimated_mb"] < max_mb else lookup, on, how)
+    """Join with a lookup that is broadcast if the optimizer's estimate of its size is below ``max_mb``.
+
+    The estimate comes from file sizes and costs no job; beyond it the join is
+    planned as any other, and may still turn into a broadcast at run time.
+    """
+    estimated = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.join(F.broadcast(lookup) if estimated < max_mb * 1e6 else lookup, on, how)

@@ -48,20 +48,21 @@ def drift_cycle(reference: DataFrame, current: DataFrame, train: Callable[[DataF
                 **decision) -> DataFrame:
     """Drift report, decision and, if so decided, a training on the current rows.
 
-    Returns the decision row, with the training metrics as a struct if there was
-    one. Report, decision and metrics are recorded under ``metrics_path`` if given.
+    Returns the decision row with the training metrics by name, null if there was
+    no training. Report, decision and metrics are recorded under ``metrics_path`` if given.
     """
     report = stage(drift.drift_report(reference, current, label_col=label_col), "drift-report")
     verdict = stage(
         drift.retrain_decision(report, drift.drift_label(reference, current, label_col), **decision),
         "retrain-decision")
     records = [as_metrics(report, "drift", run_id, F.col("feature")), as_metrics(verdict, "retrain", run_id)]
-    retrain = verdict.first()["retrain"]
+    retrain, found = verdict.first()["retrain"], F.lit(None)
     if retrain:
         metrics = stage(train(current), "retrain-metrics")
         records.append(as_metrics(metrics, "train", run_id))
-        verdict = verdict.withColumn("metrics", metrics.select(F.struct("*")).scalar())
+        pairs = [part for c in metrics.columns for part in (F.lit(c), F.col(c).try_cast("double"))]
+        found = metrics.select(F.create_map(*pairs)).scalar()
     if metrics_path:
         for record in records:
             append_metrics(record, metrics_path)
-    return verdict
+    return verdict.withColumn("metrics", found.cast("map<string,double>"))

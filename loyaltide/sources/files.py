@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,18 +106,33 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
                  partition_filter: Mapping[str, Any] | None = None, cache: bool = False) -> DataFrame:
     """Read Parquet; a scalar filter means equality, a list means membership.
 
-    A filter on a partition column prunes folders before anything is read.
+    A filter on a partition column prunes folders before anything is read. Such
+    columns are text, as their folders are named, unless ``schema`` says otherwise.
     """
     reader = spark.read.option("mergeSchema", False)
-    df = (reader.schema(schema) if schema else reader).parquet(path)
+    with partition_values_as_written(spark):
+        df = (reader.schema(schema) if schema else reader).parquet(path)
     for name, wanted in (partition_filter or {}).items():
         values = wanted if isinstance(wanted, (list, tuple, set)) else [wanted]
         df = df.filter(F.col(name).isin(*values))
     return df.cache() if cache else df
 
 
-def read_states(spark: SparkSession, path: str, states: Sequence[str] | None = None) -> DataFrame:
-    return read_parquet(spark, path, partition_filter={"customer_state": list(states)} if states else None)
+@contextmanager
+def partition_values_as_written(spark: SparkSession) -> Iterator[None]:
+    """While open, reads do not turn partition values into numbers or dates by what they look like."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def read_states(spark: SparkSession, path: str, states: Sequence[str] | None = None,
+                schema: StructType | None = None) -> DataFrame:
+    return read_parquet(spark, path, schema, {"customer_state": list(states)} if states else None)
 
 
 def partition_inventory(df: DataFrame, column: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loyaltide.functions.columns import as_list
 from loyaltide.plans.staging import stage
+from loyaltide.sources.files import partition_values_as_written
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -39,8 +40,12 @@ BAD_DELAY_DAYS = -30
 def merged(target: DataFrame, updates: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not updated, and all rows of ``updates``.
 
-    A null key matches nothing, as in an SQL merge.
+    A null key matches nothing, as in an SQL merge. Columns of the updates that
+    the target lacks raise an error.
     """
+    unknown = [c for c in updates.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
     kept = target.join(updates.select(*as_list(keys)), as_list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
@@ -121,7 +126,8 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
     folders = [f"{path}/version={v}" for v in sorted(parts)]
     # Only appends can differ in columns: a single folder needs no look at all its footers.
     reader = spark.read.option("mergeSchema", len(folders) > 1).option("basePath", path)
-    return reader.parquet(*folders).drop("version")
+    with partition_values_as_written(spark):
+        return reader.parquet(*folders).drop("version")
 
 
 # --- writes ------------------------------------------------------------------

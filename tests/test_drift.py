@@ -48,7 +48,7 @@ def test_all_null_and_empty_tables(spark):
     assert score(drift.drift_psi(nothing, some, ["x"])) == 0.0
     assert score(drift.drift_psi(some.limit(0), some, ["x"])) == 0.0
     assert score(drift.drift_quantile_gap(nothing, some, ["x"])) == 0.0
-    assert drift.drift_ks(nothing, some, ["x"]).isEmpty()
+    assert [r.ks for r in drift.drift_ks(nothing, some, ["x"]).collect()] == [None]
 
 
 @pytest.mark.parametrize("buckets", [4, 64, 1024])
@@ -152,3 +152,14 @@ def test_cycle_records_what_it_decides(spark):
     aged = drift_cycle(reference, reference, train, trained=read_metrics(spark, path, "train"),
                        as_of=F.date_add(F.current_date(), 31)).first()
     assert aged["reason"] == "model age"
+
+
+def test_ks_keeps_a_column_without_values(spark):
+    one, other = spark.createDataFrame([(1.0, None)], "a double, b double"), spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    assert {r.feature: r.ks for r in drift.drift_ks(one, other, ["a", "b"]).collect()} == {"a": 0.0, "b": None}
+
+
+def test_retrain_thresholds_are_arguments(spark):
+    report = spark.createDataFrame([("a", "DRIFT"), ("b", "OK")], "feature string, status string")
+    assert drift.retrain_decision(report, max_rate=0.4).first()["reason"] == "drift rate"
+    assert not drift.retrain_decision(report, max_rate=0.6).first()["retrain"]

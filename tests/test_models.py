@@ -67,6 +67,8 @@ def test_scoring_runs_without_python(tables, model, plan):
 def test_tiers_at_their_bounds(spark):
     df = spark.createDataFrame([(0.75,), (0.5,), (0.25,), (0.2499,), (None,)], "churn_probability double")
     assert [r.risk_tier for r in score.risk_tier(df).collect()] == ["HIGH", "MEDIUM", "LOW", "SAFE", "SAFE"]
+    broken = spark.createDataFrame([(float("nan"),)], "churn_probability double")
+    assert score.risk_tier(broken).first().risk_tier == "SAFE"
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, tables, model, rows):
@@ -74,7 +76,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tables, model, rows
 
     def run():
         scored = score.stream_score(score.event_source(spark, landing), model)
-        score.start_sink(scored, "parquet", out, checkpoint, available_now=True).awaitTermination()
+        score.start_sink(scored, out, checkpoint, available_now=True).awaitTermination()
         return spark.read.parquet(out).select("customer_unique_id", "event_timestamp", "prediction", "risk_tier")
 
     batch = score.batch_score(spark.read.parquet(landing), model).select(
@@ -86,12 +88,12 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tables, model, rows
     assert len(recent) == 5
 
 
-def test_memory_sink_and_checks(spark, tables, model):
+def test_described_sink_and_checks(spark, tables, model):
     scored = score.stream_score(score.event_source(spark, _landing(tables)), model)
-    score.start_sink(scored, "memory", available_now=True).awaitTermination()
-    assert spark.table("churn_predictions").count() == tables.events.count()
-    with pytest.raises(ValueError):
-        score.start_sink(scored, "kafka")
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    sink = score.Sink("json", {"compression": "gzip"}, ())
+    score.start_sink(scored, out, checkpoint, sink, available_now=True).awaitTermination()
+    assert spark.read.json(out).count() == tables.events.count()
     with pytest.raises(ValueError):
         score.stream_score(spark.readStream.format("rate").load(), model)
 

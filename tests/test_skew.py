@@ -61,3 +61,18 @@ def test_broadcast_only_below_the_limit(spark, plan):
         assert "SortMergeJoin" in plan(skew.broadcast_join(*sides, "id", max_mb=0.0001))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_keys_are_spread_in_a_left_join(spark):
+    large = spark.range(30_000).selectExpr("id", "CASE WHEN id % 3 < 2 THEN NULL ELSE id % 50 END AS k")
+    small = spark.range(50).selectExpr("id AS k", "id * 2 AS v")
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = skew.salted_join(large, small, "k", "left", buckets=64, row_key=["id"])
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[1])
+    assert sum(per_task) == 30_000 and max(per_task) < 2 * 30_000 / len(per_task)

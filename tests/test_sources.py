@@ -1,7 +1,9 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from loyaltide.plans.staging import scratch_path, shared_dir, stage
+from loyaltide.plans.staging import scratch_path, shared_dir, stage, staged_in
 from loyaltide.sources import files, metrics, schemas
 
 
@@ -47,6 +49,25 @@ def test_partition_filter_prunes_folders(spark, plan):
     assert files.read_states(spark, path, ["S3"]).count() == 20
 
 
+def test_partition_values_stay_text(spark):
+    path = scratch_path(spark, "text")
+    df = spark.createDataFrame([(1, "01"), (2, "1"), (3, "00123")], "id int, customer_state string")
+    files.write_by_state(df, path)
+    assert {tuple(r) for r in files.read_states(spark, path).collect()} == {(1, "01"), (2, "1"), (3, "00123")}
+    assert [r.id for r in files.read_states(spark, path, ["01"]).collect()] == [1]
+    assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
+
+
+def test_a_flow_leaves_no_staged_folder(spark):
+    with staged_in(spark) as scope:
+        first = stage(spark.range(5), "a")
+        stage(first, "b")
+    folders = [p.removeprefix("file://") for p in scope.paths]
+    assert len(folders) == 2 and all(os.path.isdir(p) for p in folders)
+    scope.remove()
+    assert not any(os.path.exists(p) for p in folders) and scope.paths == []
+
+
 def test_declared_schema_wins_on_read(spark):
     path = scratch_path(spark, "plain")
     files.write_parquet(spark.range(3), path)

@@ -35,6 +35,7 @@ from loyaltide.llm.pieces import PieceEncoder
 WORDS = 25_000  # new words encoded by one query
 TOKENS = 500_000  # token positions decoded by one query
 ROWS = 500  # texts of an Arrow batch handled at once
+KEPT = 250_000  # pieces a worker keeps beside its DuckDB
 
 ENCODE = """
 WITH RECURSIVE state(word, ids) USING KEY (word) AS (
@@ -74,7 +75,7 @@ class Coder:
         self.db.register("v", pa.table({"id": pa.array(self.ids.values(), pa.uint32()),
                                         "bytes": pa.array(self.ids, pa.binary())}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m; CREATE TABLE vocabulary AS SELECT * FROM v")
-        self.texts = PieceEncoder(self.pieces)
+        self.texts = PieceEncoder(self.pieces, KEPT)
 
     def words(self, words: Sequence[bytes]) -> list[bytes]:
         """The ids of words that are not tokens themselves, by the recursive query."""

@@ -8,8 +8,8 @@ without decoding its block.
 
 Documents are dealt out by ranges of ids, so segments are in order by (part,
 seq). They are written by Spark's own writer, one row a segment, in whatever
-store the path names: part, seq, doc_ids, ends (of each document, in tokens of
-the segment) and payload (the codes).
+store the path names: part, seq, inside (ids of the part before it), doc_ids,
+ends (of each document, in tokens of the segment) and payload (the codes).
 
 Defined cases: null text counts as empty and has the end id alone; null ids come
 first, repeated ids in the order of their texts; an empty table gives no rows.
@@ -162,29 +162,31 @@ def encoded_segments(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = kept_encoder(shared.value).texts
-        part, seq, size, held, names = TaskContext.get().partitionId(), 0, 0, [], []
+        part, seq, inside, size, held, names = TaskContext.get().partitionId(), 0, 0, 0, [], []
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
                 for name, ids in zip(some.column("id").to_pylist(), encode(some.column("text").to_pylist())):
                     held.append(ids + end)
                     names.append(name)
-                    size += len(ids) // 4 + 1
+                    size += len(held[-1]) // 4
                     if size >= SEGMENT:
-                        yield _segment(part, seq, names, held)
-                        seq, size, held, names = seq + 1, 0, [], []
+                        yield _segment(part, seq, inside, names, held)
+                        seq, inside, size, held, names = seq + 1, inside + size, 0, [], []
         if held:
-            yield _segment(part, seq, names, held)
+            yield _segment(part, seq, inside, names, held)
 
-    return ordered.mapInArrow(run, "part int, seq int, doc_ids array<long>, ends array<long>, tokens long, payload binary")
+    return ordered.mapInArrow(run, "part int, seq int, inside long, doc_ids array<long>, ends array<long>, tokens long, "
+                                   "payload binary")
 
 
-def _segment(part: int, seq: int, names: list, held: list[bytes]) -> pa.RecordBatch:
+def _segment(part: int, seq: int, inside: int, names: list, held: list[bytes]) -> pa.RecordBatch:
     ends = np.cumsum([len(x) // 4 for x in held])
-    columns = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([names], pa.list_(pa.int64())),
+    columns = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([inside], pa.int64()),
+               pa.array([names], pa.list_(pa.int64())),
                pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([int(ends[-1])], pa.int64()),
                pa.array([pack(np.frombuffer(b"".join(held), dtype="<u4"))], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["part", "seq", "doc_ids", "ends", "tokens", "payload"])
+    return pa.RecordBatch.from_arrays(columns, ["part", "seq", "inside", "doc_ids", "ends", "tokens", "payload"])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, **options) -> None:
@@ -196,12 +198,9 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     """The written segments with ``start``, the number of ids in all segments before each."""
     rows = spark.read.parquet(path)
     totals = rows.groupBy("part").agg(F.sum("tokens").alias("tokens"))
-    # A row per part, of which there are as many as shuffle partitions.
+    # A row per part, of which there are as many as shuffle partitions; payloads are not moved.
     parts = totals.select("part", (F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")).alias("before"))
-    inside = Window.partitionBy("part").orderBy("seq")
-    starts = rows.select("part", "seq", "tokens").join(F.broadcast(parts), "part").select(
-        "part", "seq", (F.col("before") + F.sum("tokens").over(inside) - F.col("tokens")).alias("start"))
-    return rows.join(starts, ["part", "seq"])
+    return rows.join(F.broadcast(parts), "part").withColumn("start", F.col("before") + F.col("inside")).drop("before")
 
 
 def documents(rows: DataFrame, of: Callable[[np.ndarray], int] = lambda ids: zlib.crc32(ids.astype("<u4").tobytes()),

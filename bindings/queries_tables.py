@@ -1,4 +1,4 @@
-"""Versioned tables: writes, reads at a version, merges, deletes, updates and rewrites."""
+"""Stored tables: writes, kept copies, merges, deletes, updates and rewrites."""
 
 from __future__ import annotations
 
@@ -50,9 +50,9 @@ UNION ALL SELECT * FROM v_new"""
 def version_write(t: Tables) -> DataFrame:
     """Overwrite with the older orders, then append the newer ones."""
     path = _table(t, "orders")
-    versions.write_version(_before(t), path, partition_by=["o_orderstatus"])
-    versions.write_version(_since(t), path, "append")
-    return versions.read_version(t.spark, path).select(*t.raw("orders").columns)
+    versions.write_table(_before(t), path, partition_by=["o_orderstatus"])
+    versions.write_table(_since(t), path, "append", ["o_orderstatus"])
+    return versions.read_table(t.spark, path).select(*t.raw("orders").columns)
 
 
 @query("""
@@ -61,9 +61,9 @@ FROM orders""")
 def version_schema_merge(t: Tables) -> DataFrame:
     """The append brings a column that older rows do not have."""
     path = _table(t, "orders-evolving")
-    versions.write_version(_before(t).select("o_orderkey"), path)
-    versions.write_version(_since(t).select("o_orderkey", "o_orderpriority"), path, "append", merge_schema=True)
-    return versions.read_version(t.spark, path)
+    versions.write_table(_before(t).select("o_orderkey"), path)
+    versions.write_table(_since(t).select("o_orderkey", "o_orderpriority"), path, "append")
+    return versions.read_table(t.spark, path, merge_schema=True)
 
 
 @query("""
@@ -75,16 +75,15 @@ UNION ALL SELECT 'version 1', count(*), round(sum(o_totalprice), 2) FROM orders
 UNION ALL SELECT 'current', count(*), round(sum(o_totalprice), 2) FROM orders
 WHERE o_orderdate >= TIMESTAMP '2000-01-01'""", digits=2)
 def time_travel(t: Tables) -> DataFrame:
-    path = _table(t, "orders-history")
-    versions.write_version(_before(t), path)
-    first_commit = versions.history(t.spark, path).select(F.col("committed_at").cast("string")).first()[0]
-    versions.write_version(_since(t), path, "append")
-    versions.write_version(_since(t), path, "overwrite")
+    path = _table(t, "orders-copies")
+    versions.write_snapshot(_before(t), path, 10)
+    versions.write_snapshot(t.raw("orders"), path, 20)
+    versions.write_snapshot(_since(t), path, 30)
     reads = {
-        "version 0": versions.read_version(t.spark, path, 0),
-        "at first commit": versions.read_version(t.spark, path, timestamp=first_commit),
-        "version 1": versions.read_version(t.spark, path, 1),
-        "current": versions.read_version(t.spark, path),
+        "version 0": versions.read_snapshot(t.spark, path, 10),
+        "at first commit": versions.read_snapshot(t.spark, path, 19),
+        "version 1": versions.read_snapshot(t.spark, path, 20),
+        "current": versions.read_snapshot(t.spark, path),
     }
     return files.union_parts(*[
         df.agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")).withColumn("read", F.lit(name))
@@ -99,7 +98,7 @@ def migrate_table(t: Tables) -> DataFrame:
     source = f"{t.folder}/supplier.parquet"
     first = versions.migrate(t.spark, source, path, ["s_nationkey"])
     second = versions.migrate(t.spark, source, path, ["s_nationkey"])
-    return versions.read_version(t.spark, path).withColumns({
+    return versions.read_table(t.spark, path).withColumn("s_nationkey", F.col("s_nationkey").cast("int")).withColumns({
         "first_time": F.lit(first), "second_time": F.lit(second)})
 
 
@@ -109,7 +108,7 @@ def upsert(t: Tables) -> DataFrame:
     path = _table(t, "user-features")
     versions.upsert(_customers(_before(t)), path)
     versions.upsert(_customers(_since(t)), path)
-    return versions.read_version(t.spark, path)
+    return versions.read_table(t.spark, path)
 
 
 DAILY = """
@@ -135,7 +134,7 @@ def upsert_daily(t: Tables) -> DataFrame:
             F.col("user_id").alias("customer_unique_id"), day.alias("day")
         ).agg(F.max("ts").alias("processed_at"), F.max("value").alias("churn_probability")).drop("day")
         versions.upsert_predictions(made.withColumn("risk_tier", F.lit("LOW")), path)
-    return versions.read_version(t.spark, path)
+    return versions.read_table(t.spark, path)
 
 
 @query("""
@@ -144,9 +143,9 @@ WHERE NOT coalesce(churn_label = 1, false)""", digits=2, views=CUSTOMERS)
 def delete_where(t: Tables) -> DataFrame:
     """Customers with a null label stay: the condition does not hold for them."""
     path = _table(t, "user-features")
-    versions.write_version(_customers(_before(t)), path)
+    versions.write_table(_customers(_before(t)), path)
     versions.delete_where(t.spark, path, F.col("churn_label") == 1)
-    return versions.read_version(t.spark, path)
+    return versions.read_table(t.spark, path)
 
 
 @query(f"""
@@ -154,10 +153,10 @@ SELECT event_id AS prediction, {when('ts')} FROM events WHERE ts >= TIMESTAMP '2
     "AS ts", "AS processed_at"))
 def retention_delete(t: Tables) -> DataFrame:
     path = _table(t, "predictions")
-    versions.write_version(
+    versions.write_table(
         t.raw("events").select(F.col("event_id").alias("prediction"), F.col("ts").alias("processed_at")), path)
     versions.delete_old_predictions(t.spark, path, 15, F.lit("2024-01-31").cast("date"))
-    return versions.read_version(t.spark, path)
+    return versions.read_table(t.spark, path)
 
 
 @query("""
@@ -166,9 +165,9 @@ SELECT customer_unique_id, frequency, round(monetary, 2) AS monetary,
        views=CUSTOMERS)
 def update_where(t: Tables) -> DataFrame:
     path = _table(t, "user-features")
-    versions.write_version(_customers(_before(t)), path)
+    versions.write_table(_customers(_before(t)), path)
     versions.update_churn_label(t.spark, path, 7, 0)
-    return versions.read_version(t.spark, path)
+    return versions.read_table(t.spark, path)
 
 
 @query("""
@@ -176,34 +175,42 @@ SELECT order_id, CASE WHEN d < -30 THEN 0 ELSE d END AS delivery_delay_days
 FROM (SELECT order_id, delivery_delay_days AS d FROM v_transformed)""")
 def update_bulk(t: Tables) -> DataFrame:
     path = _table(t, "transformed")
-    versions.write_version(t.transformed.select("order_id", "delivery_delay_days"), path)
-    versions.correct_bad_delays(t.spark, path)
-    return versions.read_version(t.spark, path)
+    by = versions.TABLE_PARTITIONS["transformed"]
+    versions.write_table(t.transformed, path, partition_by=by)
+    versions.correct_bad_delays(t.spark, path, partition_by=by)
+    return versions.read_table(t.spark, path).select("order_id", "delivery_delay_days")
 
 
 def _changed_twice(t: Tables) -> str:
-    path = _table(t, "user-features")
-    versions.write_version(_customers(_before(t)), path)
-    versions.upsert(_customers(_since(t)), path)
+    """Copy 0 is the older state, copy 1 the state after the merge."""
+    path, before = _table(t, "user-features"), _customers(_before(t))
+    versions.write_snapshot(before, path, 0)
+    versions.write_snapshot(versions.merged(before, _customers(_since(t)), "customer_unique_id"), path, 1)
     return path
 
 
 @query("""
-SELECT * FROM (VALUES (0, 'overwrite', true), (1, 'upsert', true), (2, 'append', false), (3, 'rollback', true))
-  AS h(version, operation, is_full)""")
+SELECT '0' AS snapshot, count(*) AS rows FROM v_old UNION ALL SELECT '1', count(*) FROM v_upserted
+UNION ALL SELECT '2', count(*) FROM v_new""", views=CUSTOMERS)
 def version_history(t: Tables) -> DataFrame:
+    """The kept copies with their rows."""
     path = _changed_twice(t)
-    versions.write_version(_customers(_since(t)), path, "append")
-    versions.rollback(t.spark, path, 0)
-    return versions.history(t.spark, path).select("version", "operation", "is_full")
+    versions.write_snapshot(_customers(_since(t)), path, 2)
+    return files.partition_inventory(versions.read_table(t.spark, path), "snapshot")
 
 
 @query("SELECT customer_unique_id, frequency, round(monetary, 2) AS monetary, churn_label FROM v_old", digits=2,
        views=CUSTOMERS)
 def version_rollback(t: Tables) -> DataFrame:
+    """The rows of an earlier copy become the newest one."""
+    path = _changed_twice(t)
+    versions.write_snapshot(versions.read_snapshot(t.spark, path, 0), path, 2)
+    return versions.read_snapshot(t.spark, path)
+
+
+def _two_states(t: Tables) -> tuple[DataFrame, DataFrame]:
     path = _changed_twice(t)
-    versions.rollback(t.spark, path, 0)
-    return versions.read_version(t.spark, path)
+    return versions.read_snapshot(t.spark, path, 0), versions.read_snapshot(t.spark, path, 1)
 
 
 @query("""
@@ -211,7 +218,7 @@ SELECT a.customer_unique_id, a.churn_label AS churn_label_v0, b.churn_label AS c
 FROM v_old a JOIN v_upserted b ON a.customer_unique_id = b.customer_unique_id
 WHERE a.churn_label IS DISTINCT FROM b.churn_label""", views=CUSTOMERS)
 def version_diff(t: Tables) -> DataFrame:
-    return versions.version_diff(t.spark, _changed_twice(t), 0, 1)
+    return versions.changed(*_two_states(t), names=("v0", "v1"))
 
 
 @query("""
@@ -221,22 +228,22 @@ FROM v_old a FULL JOIN v_upserted b ON a.customer_unique_id = b.customer_unique_
 WHERE a.frequency IS DISTINCT FROM b.frequency OR a.customer_unique_id IS NULL OR b.customer_unique_id IS NULL""",
        views=CUSTOMERS)
 def version_diff_all(t: Tables) -> DataFrame:
-    return versions.version_diff(t.spark, _changed_twice(t), 0, 1, column="frequency", added_and_removed=True)
+    return versions.changed(*_two_states(t), column="frequency", names=("v0", "v1"), added_and_removed=True)
 
 
 def _many_files(t: Tables) -> str:
     path = _table(t, "orders-small-files")
-    versions.write_version(t.raw("orders").repartition(16), path)
+    versions.write_table(t.raw("orders").repartition(16), path)
     return path
 
 
 @query(f"SELECT {ORDER_COLUMNS}, CAST(16 AS BIGINT) AS files_before, CAST(1 AS BIGINT) AS files_after FROM orders")
 def compact(t: Tables) -> DataFrame:
     path = _many_files(t)
-    before = versions.table_stats(t.spark, path).first()["files"]
+    before = versions.file_stats(versions.read_table(t.spark, path)).first()["files"]
     versions.compact(t.spark, path)
-    after = versions.table_stats(t.spark, path).first()["files"]
-    return versions.read_version(t.spark, path).withColumns({
+    after = versions.file_stats(versions.read_table(t.spark, path)).first()["files"]
+    return versions.read_table(t.spark, path).withColumns({
         "files_before": F.lit(before).cast("bigint"), "files_after": F.lit(after).cast("bigint")})
 
 
@@ -244,13 +251,12 @@ def compact(t: Tables) -> DataFrame:
 def cluster_by(t: Tables) -> DataFrame:
     path = _many_files(t)
     versions.cluster_by(t.spark, path, ["o_orderstatus", "o_orderdate"])
-    return versions.read_version(t.spark, path)
+    return versions.read_table(t.spark, path)
 
 
 @query("""
-SELECT CAST(16 AS BIGINT) AS files, count(*) AS rows, CAST(1 AS BIGINT) AS versions, 'overwrite' AS last_operation,
-       true AS has_bytes FROM orders""")
+SELECT CAST(16 AS BIGINT) AS files, count(*) AS rows, true AS has_bytes FROM orders""")
 def table_stats(t: Tables) -> DataFrame:
     """Bytes depend on the Parquet writer, so only their presence is checked."""
-    stats = versions.table_stats(t.spark, _many_files(t))
+    stats = versions.file_stats(versions.read_table(t.spark, _many_files(t)))
     return stats.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")

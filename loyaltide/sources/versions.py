@@ -1,14 +1,16 @@
-"""Versioned tables: Parquet folders ``version=N`` and a history of what each holds.
+"""Changes to stored tables: merges, deletes and updates as DataFrame operators, and writes of what they touch.
 
-Overwrite, upsert, update, delete, compaction and rollback write all rows as the
-next version; an append writes only its own. A read at N takes the last full
-version at or before N and the appends after it. A version counts once its
-history row is written, after the data; one writer at a time is assumed.
+Tables are plain Parquet folders. A change to a partitioned table rewrites only
+the partitions that hold rows it touches, the other files stay as they are; a
+table without partitions is rewritten whole. One writer at a time is assumed.
+Earlier states are kept only where a flow asks for it, as full copies under a
+partition column ``snapshot``, and read with a filter on that column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -16,10 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyaltide.functions.columns import as_list
-from loyaltide.plans.staging import stage
+from loyaltide.plans.staging import remove_path, stage
 from loyaltide.sources.files import partition_values_as_written
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+SNAPSHOT = "snapshot"
 
 # Partition columns of the named tables, and their predictions' key.
 TABLE_PARTITIONS = {
@@ -35,7 +38,7 @@ PREDICTION_KEY = ("customer_unique_id", "prediction_date")
 BAD_DELAY_DAYS = -30
 
 
-# --- rows of a next version, as plain DataFrame operators -------------------
+# --- changed rows, as plain DataFrame operators -----------------------------
 
 def merged(target: DataFrame, updates: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not updated, and all rows of ``updates``.
@@ -78,23 +81,37 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*columns, F.xxhash64(*df.columns)).sortWithinPartitions(*columns)
 
 
+def changed(before: DataFrame, after: DataFrame, key: str = "customer_unique_id", column: str = "churn_label",
+            names: Sequence[str] = ("before", "after"), added_and_removed: bool = False) -> DataFrame:
+    """Keys whose column differs between two tables; a change from or to null counts.
+
+    Rows present on only one side are left out unless asked for.
+    """
+    a, b = (f"{column}_{name}" for name in names)
+    sides = [df.select(key, F.col(column).alias(name), F.lit(True).alias(f"_in_{name}"))
+             for df, name in ((before, a), (after, b))]
+    joined = sides[0].join(sides[1], key, "full" if added_and_removed else "inner")
+    one_sided = F.col(f"_in_{a}").isNull() | F.col(f"_in_{b}").isNull()
+    return joined.filter(one_sided | ~F.col(a).eqNullSafe(F.col(b))).select(key, a, b)
+
+
 def _require_unique(updates: DataFrame, keys: Sequence[str]) -> None:
     known = updates.dropna(subset=list(keys))
     if not known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         raise ValueError(f"several rows to merge share one key {tuple(keys)}")
 
 
-# --- history and reads -------------------------------------------------------
+# --- reads and writes --------------------------------------------------------
 
-def history(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Writes to the table, newest first."""
-    rows = spark.read.parquet(f"{path}/history").orderBy(F.col("version").desc())
-    return rows if limit is None else rows.limit(limit)
+def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """A stored table; partition values are text, and with ``merge_schema`` files may differ in columns."""
+    with partition_values_as_written(spark):
+        return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     try:
-        history(spark, path)
+        spark.read.format("parquet").schema("_ int").load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False
@@ -102,196 +119,162 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def current_version(spark: SparkSession, path: str, at: str | None = None) -> int:
-    """The newest version, or the newest one committed by the time ``at``."""
-    rows = history(spark, path)
-    if at is not None:
-        rows = rows.filter(F.col("committed_at") <= F.to_timestamp(F.lit(at)))
-    newest = rows.agg(F.max("version")).first()[0]
-    if newest is None:
-        raise ValueError(f"no version of {path} at {at}")
-    return newest
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None,
-                 timestamp: str | None = None) -> DataFrame:
-    """The table now, at a version, or as of a time. Columns added by later appends are null before."""
-    wanted = version if version is not None else current_version(spark, path, timestamp)
-    commits = history(spark, path).filter(F.col("version") <= wanted)
-    # One history row per commit: the list of folders to read.
-    last_full = commits.filter("is_full").agg(F.max("version")).scalar()
-    parts = [r.version for r in commits.filter(F.col("version") >= last_full).select("version").collect()]
-    if wanted not in parts:
-        raise ValueError(f"{path} has no version {wanted}")
-    folders = [f"{path}/version={v}" for v in sorted(parts)]
-    # Only appends can differ in columns: a single folder needs no look at all its footers.
-    reader = spark.read.option("mergeSchema", len(folders) > 1).option("basePath", path)
-    with partition_values_as_written(spark):
-        return reader.parquet(*folders).drop("version")
-
-
-# --- writes ------------------------------------------------------------------
-
-def write_version(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
-                  merge_schema: bool = False, kind: str | None = None, comment: str = "") -> int:
-    """Write the next version and return its number.
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+    """Write or append; an append may not change the type of a column or, silently, the set of columns.
 
-    ``overwrite`` replaces the table, ``append`` adds rows (new columns only with
-    ``merge_schema``), ``ignore`` and ``error`` write only a table that is not there yet.
+    A partition's rows are brought together before the write, large ones split at run time.
     """
-    spark = df.sparkSession
-    if "version" in df.columns:
-        raise ValueError("the column name version is taken by the table's folders")
-    known = exists(spark, path)
-    if known and mode == "ignore":
-        return current_version(spark, path)
-    if known and mode == "error":
-        raise ValueError(f"{path} exists")
-    version = current_version(spark, path) + 1 if known else 0
-    present = list(history(spark, path, 1).first()["partition_by"]) if known else []
-    partition_by = present if partition_by is None else list(partition_by)
-    is_full = not (known and mode == "append")
-    if not is_full and partition_by != present:
-        raise ValueError(f"{path} is partitioned by {present}")
-    if not is_full and not merge_schema:
-        added = set(df.columns) - set(read_version(spark, path).columns)
-        if added:
-            raise ValueError(f"append adds columns {sorted(added)}; pass merge_schema=True")
-
-    # Bring a partition's rows together before the write, large ones split at run time.
+    if mode == "append" and exists(df.sparkSession, path):
+        stored = dict(read_table(df.sparkSession, path, merge_schema=True).dtypes)
+        other = [c for c, kind in df.dtypes if c not in partition_by and stored.get(c, kind) != kind]
+        if other:
+            raise ValueError(f"columns {other} have another type in {path}")
     rows = df.hint("rebalance", *partition_by) if partition_by else df
-    writer = rows.write.mode("overwrite").option("compression", "snappy")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/version={version}")
+    writer = rows.write.mode(mode).option("compression", "snappy")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
-    spark.range(1).select(
-        F.lit(version).cast("int").alias("version"),
-        F.current_timestamp().alias("committed_at"),
-        F.lit(kind or mode).alias("operation"),
-        F.lit(is_full).alias("is_full"),
-        F.array(*[F.lit(c) for c in partition_by]).cast("array<string>").alias("partition_by"),
-        F.lit(comment).alias("comment"),
-    ).coalesce(1).write.mode("append").parquet(f"{path}/history")
-    return version
 
-
-def write_table(df: DataFrame, root: str, name: str, mode: str | None = None) -> int:
+def write_named(df: DataFrame, root: str, name: str, mode: str | None = None) -> None:
     """Write one of the named tables under its own partition columns; predictions are appended."""
-    mode = mode or ("append" if name == "predictions" else "overwrite")
-    return write_version(df, f"{root}/{name}", mode, TABLE_PARTITIONS[name], comment=name)
+    write_table(df, f"{root}/{name}", mode or ("append" if name == "predictions" else "overwrite"),
+                TABLE_PARTITIONS[name])
 
 
-def migrate(spark: SparkSession, parquet_path: str, path: str, partition_by: Sequence[str] | None = None) -> bool:
-    """Start a versioned table from plain Parquet; False if it is there already."""
+def migrate(spark: SparkSession, parquet_path: str, path: str, partition_by: Sequence[str] = ()) -> bool:
+    """Start a partitioned table from plain Parquet; False if it is there already."""
     if exists(spark, path):
         return False
-    write_version(spark.read.parquet(parquet_path), path, partition_by=partition_by, kind="migrate")
+    write_table(spark.read.parquet(parquet_path), path, "error", partition_by)
     return True
 
 
-def migrate_all(spark: SparkSession, sources: Mapping[str, str], root: str) -> dict[str, bool]:
-    """Migrate the named tables from their Parquet paths."""
-    return {name: migrate(spark, source, f"{root}/{name}", TABLE_PARTITIONS[name])
-            for name, source in sources.items()}
+def _matching(rows: DataFrame, spots: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose partition is, or with ``left_anti`` is not, one of ``spots``; null matches null."""
+    same = reduce(Column.__and__, [rows[c].eqNullSafe(spots[c]) for c in columns])
+    return rows.join(spots, same, how)
+
+
+def rewrite(target: DataFrame, path: str, change: Callable[[DataFrame], DataFrame], touched: DataFrame,
+            partition_by: Sequence[str] = ()) -> None:
+    """Store ``change(rows)`` for the partitions that occur in ``touched``, and leave all other files alone.
+
+    The new rows are staged first, since their folders are both read and
+    overwritten. Folders that hold no rows any more are removed last.
+    """
+    spark = target.sparkSession
+    if not partition_by:
+        write_table(stage(change(target), "changed-table"), path)
+        return
+    spots = stage(touched.select(*partition_by).distinct(), "touched-partitions")
+    rows = stage(change(_matching(target, spots, partition_by)), "changed-partitions")
+    rows.hint("rebalance", *partition_by).write.mode("overwrite").option("compression", "snappy") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    stored = read_table(spark, path).select(
+        *partition_by, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+    emptied = _matching(_matching(stored, spots, partition_by), rows.select(*partition_by).distinct(),
+                        partition_by, "left_anti")
+    # At most one row per folder of the table.
+    for row in emptied.select("folder").distinct().collect():
+        remove_path(spark, spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.folder)).toString())
 
 
 def upsert(updates: DataFrame, path: str, keys: str | Sequence[str] = FEATURE_KEY,
-           partition_by: Sequence[str] | None = None) -> int:
+           partition_by: Sequence[str] = ()) -> None:
     """Replace rows that share a key with an update and add the other updates.
 
-    The updates are staged: they are needed three times, and must be the same
+    The updates are staged: they are needed several times, and must be the same
     rows each time.
     """
-    keys, updates = as_list(keys), stage(updates, "updates")
+    spark, keys, updates = updates.sparkSession, as_list(keys), stage(updates, "updates")
     _require_unique(updates, keys)
-    if not exists(updates.sparkSession, path):
-        return write_version(updates, path, partition_by=partition_by, kind="upsert")
-    target = read_version(updates.sparkSession, path)
-    return write_version(merged(target, updates, keys), path, kind="upsert")
-
-
-def upsert_predictions(predictions: DataFrame, path: str) -> int:
+    if not exists(spark, path):
+        write_table(updates, path, partition_by=partition_by)
+        return
+    target = read_table(spark, path)
+    types = dict(updates.dtypes)
+    target = target.withColumns({c: F.col(c).cast(types[c]) for c in partition_by if c in types})
+    touched = updates
+    if partition_by:
+        replaced = target.join(updates.select(*keys), keys, "left_semi")
+        touched = replaced.select(*partition_by).unionByName(updates.select(*partition_by))
+    rewrite(target, path, lambda rows: merged(rows, updates, keys), touched, partition_by)
+
+
+def upsert_predictions(predictions: DataFrame, path: str) -> None:
     """One prediction per customer and day: a later one of the same day replaces it."""
-    return upsert(with_prediction_date(predictions), path, PREDICTION_KEY, TABLE_PARTITIONS["predictions"])
+    upsert(with_prediction_date(predictions), path, PREDICTION_KEY, TABLE_PARTITIONS["predictions"])
 
 
-def delete_where(spark: SparkSession, path: str, condition: Column) -> int:
-    return write_version(without(read_version(spark, path), condition), path, kind="delete")
+def delete_where(spark: SparkSession, path: str, condition: Column, partition_by: Sequence[str] = ()) -> None:
+    target = read_table(spark, path)
+    rewrite(target, path, lambda rows: without(rows, condition), target.filter(condition), partition_by)
 
 
-def delete_customer(spark: SparkSession, path: str, customer: Any) -> int:
-    return delete_where(spark, path, F.col("customer_unique_id") == customer)
+def delete_customer(spark: SparkSession, path: str, customer: Any, partition_by: Sequence[str] = ()) -> None:
+    delete_where(spark, path, F.col("customer_unique_id") == customer, partition_by)
 
 
-def delete_old_predictions(spark: SparkSession, path: str, days: int = 30, today: Column | None = None) -> int:
+def delete_old_predictions(spark: SparkSession, path: str, days: int = 30, today: Column | None = None,
+                           partition_by: Sequence[str] = ()) -> None:
     today = today if today is not None else F.current_date()
-    return delete_where(spark, path, F.col("processed_at") < F.date_sub(today, days))
+    delete_where(spark, path, F.col("processed_at") < F.date_sub(today, days), partition_by)
 
 
-def update_where(spark: SparkSession, path: str, condition: Column, values: Mapping[str, Any]) -> int:
-    return write_version(updated(read_version(spark, path), condition, values), path, kind="update")
+def update_where(spark: SparkSession, path: str, condition: Column, values: Mapping[str, Any],
+                 partition_by: Sequence[str] = ()) -> None:
+    """Set columns where the condition holds; partition columns cannot be set."""
+    moved = [c for c in partition_by if c in values]
+    if moved:
+        raise ValueError(f"partition columns {moved} cannot be updated; upsert the rows")
+    target = read_table(spark, path)
+    rewrite(target, path, lambda rows: updated(rows, condition, values), target.filter(condition), partition_by)
 
 
-def update_churn_label(spark: SparkSession, path: str, customer: Any, label: int) -> int:
-    return update_where(spark, path, F.col("customer_unique_id") == customer, {"churn_label": label})
+def update_churn_label(spark: SparkSession, path: str, customer: Any, label: int,
+                       partition_by: Sequence[str] = ()) -> None:
+    update_where(spark, path, F.col("customer_unique_id") == customer, {"churn_label": label}, partition_by)
 
 
-def correct_bad_delays(spark: SparkSession, path: str, column: str = "delivery_delay_days") -> int:
+def correct_bad_delays(spark: SparkSession, path: str, column: str = "delivery_delay_days",
+                       partition_by: Sequence[str] = ()) -> None:
     """Delays of more than a month before the estimate are taken as errors and become 0."""
-    return update_where(spark, path, F.col(column) < BAD_DELAY_DAYS, {column: 0})
+    update_where(spark, path, F.col(column) < BAD_DELAY_DAYS, {column: 0}, partition_by)
 
 
-def rollback(spark: SparkSession, path: str, version: int) -> int:
-    """Make the rows of an earlier version the newest version, under the same partitions."""
-    return write_version(read_version(spark, path, version), path, kind="rollback",
-                         comment=f"rows of version {version}")
+# --- kept copies and files ---------------------------------------------------
 
+def write_snapshot(df: DataFrame, path: str, number: int) -> None:
+    """Keep the rows as copy ``number``, which may be a date such as 20240131; written again, it is replaced."""
+    df.withColumn(SNAPSHOT, F.lit(number)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT).parquet(path)
 
-def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite the table into files of about the target size; the rows stay the same."""
-    size = table_stats(spark, path).first()["bytes"] or 0
-    df = read_version(spark, path)
-    partitioned = bool(history(spark, path, 1).first()["partition_by"])
-    rows = df if partitioned else df.repartition(max(1, -(-size // target_bytes)))
-    return write_version(rows, path, kind="compact")
 
+def read_snapshot(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """The newest copy, or the newest numbered ``as_of`` or less; columns of other copies only are null."""
+    copies = read_table(spark, path, merge_schema=True).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("long"))
+    if as_of is not None:
+        copies = copies.filter(F.col(SNAPSHOT) <= as_of)
+    newest = copies.agg(F.max(SNAPSHOT)).scalar()
+    return copies.filter(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
 
-def cluster_by(spark: SparkSession, path: str, columns: Sequence[str]) -> int:
-    """Rewrite the table ranged and sorted by the columns; it is no longer partitioned by folder."""
-    return write_version(clustered(read_version(spark, path), columns), path, partition_by=[], kind="cluster")
 
+def file_stats(table: DataFrame) -> DataFrame:
+    """Files, bytes and rows of a table as read from Parquet."""
+    files = table.groupBy("_metadata.file_path").agg(
+        F.max("_metadata.file_size").alias("file_size"), F.count(F.lit(1)).alias("file_rows"))
+    return files.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("file_rows"), F.lit(0)).alias("rows"))
 
-# --- inspection --------------------------------------------------------------
 
-def version_diff(spark: SparkSession, path: str, version_a: int, version_b: int,
-                 key: str = "customer_unique_id", column: str = "churn_label",
-                 added_and_removed: bool = False) -> DataFrame:
-    """Keys whose column differs between two versions; a change from or to null counts.
-
-    Rows present in only one version are left out unless asked for.
-    """
-    a, b = f"{column}_v{version_a}", f"{column}_v{version_b}"
-    sides = [
-        read_version(spark, path, v).select(key, F.col(column).alias(name), F.lit(True).alias(f"_in_{name}"))
-        for v, name in ((version_a, a), (version_b, b))
-    ]
-    joined = sides[0].join(sides[1], key, "full" if added_and_removed else "inner")
-    one_sided = F.col(f"_in_{a}").isNull() | F.col(f"_in_{b}").isNull()
-    return joined.filter(one_sided | ~F.col(a).eqNullSafe(F.col(b))).select(key, a, b)
+def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
+    """Rewrite a table without partitions into files of about the target size; the rows stay the same."""
+    table = read_table(spark, path)
+    size = file_stats(table).first()["bytes"]
+    write_table(stage(table, "compacted").repartition(max(1, -(-size // target_bytes))), path)
 
 
-def table_stats(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Files, bytes and rows of a version, with the number of versions and the last operation."""
-    files = (
-        read_version(spark, path, version)
-        .groupBy("_metadata.file_path").agg(
-            F.max("_metadata.file_size").alias("file_size"), F.count(F.lit(1)).alias("file_rows"))
-    )
-    commits = history(spark, path)
-    return files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum("file_rows"), F.lit(0)).alias("rows"),
-    ).withColumns({
-        "versions": commits.agg(F.count(F.lit(1))).scalar(),
-        "last_operation": commits.agg(F.max_by("operation", "version")).scalar(),
-    })
+def cluster_by(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
+    """Rewrite a table without partitions ranged and sorted by the columns."""
+    write_table(clustered(stage(read_table(spark, path), "unclustered"), columns), path)

@@ -18,11 +18,37 @@ def customers(spark, *rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+BY = ["customer_state"]
+
+
 def test_upsert_keeps_null_keys_and_replaces_matches(spark, path, rows):
-    versions.upsert(customers(spark, ("a", 0, "X"), ("b", 0, "Y"), (None, 0, "X")), path, partition_by=["customer_state"])
-    versions.upsert(customers(spark, ("a", 1, "Z"), ("c", 1, "Y"), (None, 1, "Z")), path)
-    now = versions.read_version(spark, path).select("customer_unique_id", "churn_label", "customer_state")
-    assert rows(now) == [("a", 1, "Z"), ("b", 0, "Y"), ("c", 1, "Y"), (None, 0, "X"), (None, 1, "Z")]
+    versions.upsert(customers(spark, ("a", 0, "01"), ("b", 0, "1"), (None, 0, "01")), path, partition_by=BY)
+    versions.upsert(customers(spark, ("a", 1, "Z"), ("c", 1, "1"), (None, 1, "Z")), path, partition_by=BY)
+    now = versions.read_table(spark, path).select("customer_unique_id", "churn_label", "customer_state")
+    assert rows(now) == [("a", 1, "Z"), ("b", 0, "1"), ("c", 1, "1"), (None, 0, "01"), (None, 1, "Z")]
+
+
+def test_changes_leave_files_of_other_partitions_alone(spark, path, rows):
+    def stored(state):
+        return {f for f in versions.read_table(spark, path).inputFiles() if f"customer_state={state}/" in f}
+
+    versions.write_table(customers(spark, ("a", 0, "X"), ("b", 0, "Y"), ("c", 0, "a b"), ("d", 0, None)), path,
+                         partition_by=BY)
+    kept, other = stored("Y"), stored("X")
+    versions.upsert(customers(spark, ("a", 1, "Z")), path, partition_by=BY)
+    versions.delete_customer(spark, path, "c", BY)
+    versions.update_churn_label(spark, path, "d", 5, BY)
+    assert stored("Y") == kept and other and not stored("X") and not stored("a%20b")
+    now = versions.read_table(spark, path).select("customer_unique_id", "churn_label", "customer_state")
+    assert rows(now) == [("a", 1, "Z"), ("b", 0, "Y"), ("d", 5, None)]
+    with pytest.raises(ValueError):
+        versions.update_where(spark, path, F.lit(True), {"customer_state": "Q"}, BY)
+
+
+def test_unknown_update_columns_raise(spark, path):
+    versions.write_table(customers(spark, ("a", 0, "X")), path)
+    with pytest.raises(ValueError):
+        versions.upsert(customers(spark, ("a", 1, "X")).withColumn("new", F.lit(1)), path)
 
 
 def test_upsert_refuses_updates_that_share_a_key(spark, path):
@@ -39,58 +65,42 @@ def test_daily_predictions_replace_only_the_same_day(spark, path, rows):
 
     for day, probability in ((1, 0.1), (2, 0.2), (2, 0.3)):
         versions.upsert_predictions(made(day, probability), path)
-    now = versions.read_version(spark, path)
+    now = versions.read_table(spark, path)
     assert rows(now.select("churn_probability")) == [(0.1,), (0.3,)]
     versions.delete_old_predictions(spark, path, 1, F.lit("2024-01-03").cast("date"))
-    assert rows(versions.read_version(spark, path).select("churn_probability")) == [(0.3,)]
+    assert rows(versions.read_table(spark, path).select("churn_probability")) == [(0.3,)]
 
 
 def test_delete_and_update_leave_rows_with_null_conditions(spark, path, rows):
-    versions.write_version(customers(spark, ("a", 1, "X"), ("b", None, "X"), (None, 1, "X")), path)
+    versions.write_table(customers(spark, ("a", 1, "X"), ("b", None, "X"), (None, 1, "X")), path)
     versions.delete_customer(spark, path, "a")
-    assert versions.read_version(spark, path).count() == 2
+    assert versions.read_table(spark, path).count() == 2
     versions.update_churn_label(spark, path, "b", 0)
-    assert rows(versions.read_version(spark, path)) == [("b", 0, "X"), (None, 1, "X")]
-    assert dict(versions.read_version(spark, path).dtypes)["churn_label"] == "int"
+    assert rows(versions.read_table(spark, path)) == [("b", 0, "X"), (None, 1, "X")]
+    assert dict(versions.read_table(spark, path).dtypes)["churn_label"] == "int"
 
 
-def test_modes(spark, path):
-    first = spark.range(3)
-    assert versions.write_version(first, path, "error") == 0
-    assert versions.write_version(first, path, "ignore") == 0
-    with pytest.raises(ValueError):
-        versions.write_version(first, path, "error")
-    with pytest.raises(ValueError):
-        versions.write_version(first.withColumn("new", F.lit(1)), path, "append")
+def test_append_of_another_type_raises(spark, path):
+    versions.write_table(spark.range(3), path)
     with pytest.raises(ValueError):
-        versions.write_version(first, path, "append", partition_by=["id"])
-    with pytest.raises(ValueError):
-        versions.write_version(first.withColumnRenamed("id", "version"), path)
-    assert versions.write_version(first.withColumn("new", F.lit(1)), path, "append", merge_schema=True) == 1
-    assert versions.read_version(spark, path).filter("new is null").count() == 3
-    with pytest.raises(ValueError):
-        versions.read_version(spark, path, 7)
-    with pytest.raises(ValueError):
-        versions.read_version(spark, path, timestamp="1999-01-01 00:00:00")
-
-
-def test_rollback_keeps_partitions_and_history(spark, path):
-    versions.write_version(customers(spark, ("a", 1, "X")), path, partition_by=["customer_state"])
-    versions.write_version(customers(spark, ("b", 1, "Y")), path, "append")
-    versions.write_version(customers(spark, ("c", 1, "Z")), path)
-    assert versions.rollback(spark, path, 1) == 3
-    assert versions.read_version(spark, path).count() == 2
-    log = versions.history(spark, path, 2).collect()
-    assert [(r.version, r.operation, r.partition_by) for r in log] == [
-        (3, "rollback", ["customer_state"]), (2, "overwrite", ["customer_state"])]
-    assert all("/customer_state=" in f for f in versions.read_version(spark, path).inputFiles())
-
-
-def test_diff_counts_changes_to_and_from_null(spark, path, rows):
-    versions.write_version(customers(spark, ("a", 1, "X"), ("b", None, "X"), ("c", None, "X"), ("d", 1, "X")), path)
-    versions.write_version(customers(spark, ("a", 0, "X"), ("b", 1, "X"), ("c", None, "X"), ("e", 1, "X")), path)
-    assert rows(versions.version_diff(spark, path, 0, 1)) == [("a", 1, 0), ("b", None, 1)]
-    everything = versions.version_diff(spark, path, 0, 1, added_and_removed=True)
+        versions.write_table(spark.range(3).select(F.col("id").cast("string")), path, "append")
+    versions.write_table(spark.range(3).withColumn("new", F.lit(1)), path, "append")
+    assert versions.read_table(spark, path, merge_schema=True).filter("new is null").count() == 3
+
+
+def test_snapshots_are_read_by_number(spark, path, rows):
+    versions.write_snapshot(spark.range(1), path, 20240101)
+    versions.write_snapshot(spark.range(2), path, 20240201)
+    versions.write_snapshot(spark.range(3), path, 20240201)
+    assert [versions.read_snapshot(spark, path, at).count() for at in (20240101, 20240131, 20240201, None)] == [1, 1, 3, 3]
+    assert versions.read_snapshot(spark, path, 20231231).count() == 0
+
+
+def test_diff_counts_changes_to_and_from_null(spark, rows):
+    before = customers(spark, ("a", 1, "X"), ("b", None, "X"), ("c", None, "X"), ("d", 1, "X"))
+    after = customers(spark, ("a", 0, "X"), ("b", 1, "X"), ("c", None, "X"), ("e", 1, "X"))
+    assert rows(versions.changed(before, after)) == [("a", 1, 0), ("b", None, 1)]
+    everything = versions.changed(before, after, added_and_removed=True)
     assert rows(everything) == [("a", 1, 0), ("b", None, 1), ("d", 1, None), ("e", None, 1)]
 
 
@@ -105,10 +115,9 @@ def test_clustering_splits_a_hot_value_and_keeps_rows(spark):
 def test_named_tables_and_migration(spark, path):
     source = scratch_path(spark, "plain")
     files.write_parquet(customers(spark, ("a", 1, "X")), source)
-    assert versions.migrate_all(spark, {"user_features": source}, path) == {"user_features": True}
-    assert versions.migrate_all(spark, {"user_features": source}, path) == {"user_features": False}
+    assert [versions.migrate(spark, source, f"{path}/user_features", BY) for _ in range(2)] == [True, False]
     predictions = spark.range(2).withColumn("risk_tier", F.lit("LOW"))
-    assert [versions.write_table(predictions, path, "predictions") for _ in range(2)] == [0, 1]
-    assert versions.read_version(spark, f"{path}/predictions").count() == 4
-    stats = versions.table_stats(spark, f"{path}/predictions").first()
-    assert (stats.rows, stats.versions, stats.last_operation) == (4, 2, "append")
+    for _ in range(2):
+        versions.write_named(predictions, path, "predictions")
+    stats = versions.file_stats(versions.read_table(spark, f"{path}/predictions")).first()
+    assert stats.rows == 4 and stats.bytes > 0

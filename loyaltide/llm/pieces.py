@@ -19,9 +19,9 @@ KNOWN = 600_000  # pieces a worker keeps, some 130 MB
 BLOCK = 2 << 20  # characters whose new pieces are encoded together
 
 
-def _plain(piece: str) -> bool:
-    """Not empty and without white space at either end."""
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+def _plain(pieces: list[str]) -> bool:
+    """None is empty or has white space at either end."""
+    return all(pieces) and list(map(str.strip, pieces)) == pieces
 
 
 def stretches(text: str) -> Iterator[str]:
@@ -76,9 +76,8 @@ class PieceEncoder:
         first = [rest.pop(0)]
         if first == [""] and rest:  # a stretch that begins at a cut
             first = []
-        known = self.after_blank
-        new = [p for p in rest if p not in known]
-        if not (all(map(_plain, new)) and all(map(_plain, first))):
+        new = list(set(rest).difference(self.after_blank))
+        if not (_plain(new) and _plain(first)):
             first, rest, new = _COARSE.findall(text), [], []
         blank.update(dict.fromkeys(new))
         whole.update(dict.fromkeys(p for p in first if p not in self.as_is))

@@ -34,7 +34,7 @@ from loyaltide.llm.pieces import PieceEncoder
 
 SEGMENT = 1 << 20  # ids of a segment, about; a document is never cut
 RANK = 512  # bits between two entries of a rank directory
-TOGETHER = 2000  # pieces joined to one text for the tokenizer
+TOGETHER = 250  # pieces joined to one text for the tokenizer
 ROWS = 500
 
 
@@ -133,7 +133,7 @@ class LibraryEncoder:
 
     def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
         for text in texts:
-            yield self.tokenizer.encode(text, add_special_tokens=False).ids
+            yield self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
 
 _sources: dict[bytes, str] = {}

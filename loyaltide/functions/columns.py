@@ -17,7 +17,8 @@ CHURN_DAYS = 180
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    wanted = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+    """Columns of whole or floating point numbers; decimals are left out, since a double does not hold their digits."""
+    wanted = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
     return [f.name for f in df.schema if isinstance(f.dataType, wanted) and f.name not in exclude]
 
 

@@ -38,24 +38,43 @@ def column_quantiles(
 
     Nulls and NaN are left out. A column without values gets null.
     """
-    values = df.select(*[finite_double(c) for c in columns])
+    found = _quantiles(df, columns, probabilities, accuracy)
+    return found.withColumn("quantiles", F.transform("quantiles", lambda q: q["number"]))
+
+
+def _quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+               accuracy: int | None) -> DataFrame:
+    """Quantiles as structs: ``number`` is a double, ``whole`` the same value of a long column with all its digits.
+
+    Structs are ordered field by field, and longs that share a double by ``whole``.
+    """
+    types = dict(df.dtypes)
+    values = df.select(*[F.struct(
+        finite_double(c).alias("number"),
+        (F.col(c) if types.get(c) == "bigint" else F.lit(None).cast("bigint")).alias("whole")).alias(c) for c in columns])
     if accuracy is not None:
         found = values.unpivot([], list(columns), "feature", "value").groupBy("feature").agg(
-            F.percentile_approx("value", list(probabilities), accuracy).alias("quantiles"))
-        return _for_each(columns, found)
+            F.percentile_approx("value.number", list(probabilities), accuracy).alias("quantiles"))
+        return _for_each(columns, found.withColumn("quantiles", F.transform("quantiles", lambda q: F.struct(
+            q.alias("number"), q.cast("bigint").alias("whole")))))
     return _exact_quantiles(values, list(columns), list(probabilities))
 
 
 def quantile_struct(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
                     accuracy: int | None = None) -> Column:
-    """The same quantiles as one scalar subquery with an array field per column.
+    """The same quantiles as one scalar subquery with an array field per column, of longs for a long column.
 
     Operators use it to compare every row with a bound without a join. The few
     rows of quantiles are staged, so that a plan which refers to them often, or
     takes quantiles of its own on top, does not repeat the passes behind them.
     """
-    table = stage(column_quantiles(df, columns, probabilities, accuracy), "quantiles")
-    picked = [F.max(F.when(F.col("feature") == c, F.col("quantiles"))).alias(c) for c in columns]
+    table, types = stage(_quantiles(df, columns, probabilities, accuracy), "quantiles"), dict(df.dtypes)
+
+    def own(name: str) -> Column:
+        part = "whole" if types.get(name) == "bigint" else "number"
+        return F.transform("quantiles", lambda q: q[part])
+
+    picked = [F.max(F.when(F.col("feature") == c, own(c))).alias(c) for c in columns]
     return table.agg(F.struct(*picked).alias("bounds")).scalar()
 
 
@@ -66,12 +85,12 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     around = [max(p - margin, 0.0) for p in ps] + [min(p + margin, 1.0) for p in ps]
     k = len(ps)
 
-    long = values.unpivot([], columns, "feature", "value").filter(F.col("value").isNotNull())
+    long = values.unpivot([], columns, "feature", "value").filter(F.col("value.number").isNotNull())
 
     # One row per column: bounds around each quantile and the rank asked for.
     # Grouping by column gives every column's sketches a task of their own to merge.
     sketch = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", around, BRACKET_ACCURACY).alias("at"))
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value.number", around, BRACKET_ACCURACY).alias("at"))
     ranks = [
         F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("n")).cast("long"), F.lit(1).cast("long"))
         for p in ps
@@ -87,11 +106,11 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     # of rows matters, so those collapse into one null-keyed group per slot, and
     # so do the rows above the last bracket.
     # The broadcast side has one row per column of the input.
-    in_slot = total([F.when(F.col("value") > F.col("high")[i], 1).otherwise(0) for i in range(k)])
+    in_slot = total([F.when(F.col("value.number") > F.col("high")[i], 1).otherwise(0) for i in range(k)])
     counts = (
         long.join(F.broadcast(brackets), "feature")
         .withColumn("slot", in_slot)
-        .withColumn("candidate", F.when(F.col("value") >= F.get("low", F.col("slot")), F.col("value")))
+        .withColumn("candidate", F.when(F.col("value.number") >= F.get("low", F.col("slot")), F.col("value")))
         .groupBy("feature", "slot", "candidate")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -110,7 +129,7 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
             lambda r: (r["rank"] <= F.col("reached")) & (r["rank"] > F.col("reached") - F.col("rows")),
         )))
         .withColumn("found", F.coalesce(
-            F.col("candidate"), F.raise_error(F.lit("quantile outside its bracket")).cast("double")))
+            F.col("candidate"), F.raise_error(F.lit("quantile outside its bracket")).cast("struct<number:double,whole:bigint>")))
     )
     found = ranked.groupBy("feature").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("rank_asked.at"), F.col("found")))).alias("found"))

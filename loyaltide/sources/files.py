@@ -16,13 +16,20 @@ from loyaltide.sources import schemas
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 CORRUPT = "_corrupt_record"
+MULTI_LINE = ("reviews",)  # tables whose texts customers wrote, line breaks included
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read CSV under a declared schema; unparsable lines keep their text in ``_corrupt_record``."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """Read CSV under a declared schema; unparsable lines keep their text in ``_corrupt_record``.
+
+    A quote inside quoted text is doubled. ``multi_line`` lets quoted text hold
+    line breaks; such a file is read by one task, so it is off where it can be.
+    """
     return (
         spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
         .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -53,9 +60,10 @@ def null_key_report(df: DataFrame, key: str) -> DataFrame:
     ).select(F.lit(key).alias("key"), "rows", "null_keys")
 
 
-def ingest_table(spark: SparkSession, path: str, schema: StructType, key: str | None = None) -> DataFrame:
+def ingest_table(spark: SparkSession, path: str, schema: StructType, key: str | None = None,
+                 multi_line: bool = False) -> DataFrame:
     """The intact rows of a CSV file that have the key."""
-    df, _ = split_corrupt(read_csv(spark, path, schema))
+    df, _ = split_corrupt(read_csv(spark, path, schema, multi_line))
     return drop_null_keys(df, key) if key else df
 
 
@@ -74,7 +82,8 @@ def ingest_clicks(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def _ingest(spark: SparkSession, folder: str, files: Mapping[str, str],
             declared: Mapping[str, StructType]) -> dict[str, DataFrame]:
     return {
-        name: ingest_table(spark, f"{folder}/{file}", declared[name], schemas.REQUIRED_KEYS.get(name))
+        name: ingest_table(spark, f"{folder}/{file}", declared[name], schemas.REQUIRED_KEYS.get(name),
+                           multi_line=name in MULTI_LINE)
         for name, file in files.items()
     }
 

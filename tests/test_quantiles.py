@@ -62,3 +62,16 @@ def test_sketch_is_close(spark):
     df = spark.range(50_000).withColumn("v", F.col("id").cast("double"))
     found = {r.feature: r.quantiles for r in column_quantiles(df, ["v"], [0.5], accuracy=1000).collect()}
     assert abs(found["v"][0] - 25_000) <= 50
+
+
+def test_long_values_beyond_double_precision_stay_exact(spark, rows):
+    from loyaltide.operators.clean import null_fill, winsorize
+
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big,)] * 5 + [(None,)], "v long")
+    assert rows(winsorize(df, ["v"])) == [(big,)] * 5 + [(None,)]
+    assert rows(null_fill(df)) == [(big,)] * 6
+    spread = spark.createDataFrame([(big + i,) for i in range(101)] + [(None,)], "v long")
+    assert null_fill(spread).where(f"v = {big + 50}").count() == 2
+    capped = winsorize(spread, ["v"]).agg({"v": "min"}).first()[0], winsorize(spread, ["v"]).agg({"v": "max"}).first()[0]
+    assert capped == (big + 1, big + 99)

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loyaltide.plans.staging import scratch_path, shared_dir, stage, staged_in
 from loyaltide.sources import files, metrics, schemas
@@ -94,3 +95,11 @@ def test_staging_uses_the_folder_the_session_names(spark):
 def test_union_needs_the_same_columns(spark):
     with pytest.raises(Exception):
         files.union_parts(spark.range(1), spark.range(1).toDF("other")).collect()
+
+
+def test_quoted_texts_may_hold_line_breaks_and_quotes(spark, rows, tmp_path):
+    (tmp_path / "r.csv").write_text('id,comment\n1,"two\nlines, ""quoted"""\n2,plain\n')
+    df = files.read_csv(spark, str(tmp_path / "r.csv"), T.StructType.fromDDL("id int, comment string"), multi_line=True)
+    intact, bad = files.split_corrupt(df)
+    assert rows(intact) == [(1, 'two\nlines, "quoted"'), (2, "plain")]
+    assert bad.count() == 0

@@ -120,9 +120,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Write or append; an append may not change the type of a column or, silently, the set of columns.
+    """Write or append; an append whose column has another type than in the table raises.
 
-    A partition's rows are brought together before the write, large ones split at run time.
+    An append may bring new columns, which ``read_table`` shows with ``merge_schema``. A partition's rows are brought together before the write, large ones split at run time.
     """
     if mode == "append" and exists(df.sparkSession, path):
         stored = dict(read_table(df.sparkSession, path, merge_schema=True).dtypes)

@@ -143,8 +143,9 @@ def kept_coder(ranks: bytes, pattern: str) -> Coder:
     return _coder(digest, pattern)
 
 
-def _mapped(df: DataFrame, ranks_path: str, pattern: str, source: str, added: str, step) -> DataFrame:
-    """``df`` and a binary column ``added`` that ``step`` makes from column ``source``, with the worker's coder."""
+def _mapped(df: DataFrame, ranks_path: str, pattern: str, source: str, added: str, step,
+            kind: tuple[str, pa.DataType] = ("binary", pa.binary())) -> DataFrame:
+    """``df`` and a column ``added`` that ``step`` makes from column ``source``, with the worker's coder."""
     with open(ranks_path, "rb") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
     at_source, columns = df.columns.index(source), [f"c{i}" for i in range(len(df.columns) + 1)]
@@ -155,9 +156,9 @@ def _mapped(df: DataFrame, ranks_path: str, pattern: str, source: str, added: st
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 values = step(coder, part.column(at_source).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], columns)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, kind[1])], columns)
 
-    return mapped(df, run, (added, "binary"))
+    return mapped(df, run, (added, kind[0]))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,3 +170,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes behind column ``ids``."""
     return _mapped(encoded, ranks_path, pattern, "ids", "decoded", lambda coder, t: coder.decode(t))
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Columns id, ids and decoded: what ``decode`` makes of ``encode``, in one pass.
+
+    Two passes in a row keep two Python workers a core busy, each with a
+    DuckDB, a vocabulary and pieces of its own; this needs one of them.
+    """
+    def step(coder: Coder, texts: Sequence[str]) -> list[dict[str, bytes]]:
+        ids = list(coder.texts(texts))
+        return [{"ids": i, "decoded": d} for i, d in zip(ids, coder.decode(ids))]
+
+    texts = docs.select(quoted(id_col).alias(id_col), text_of(text_col).alias("__text"))
+    both = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+    found = _mapped(texts, ranks_path, pattern, "__text", "__both", step,
+                    ("struct<ids:binary,decoded:binary>", both))
+    return found.select(quoted(id_col), "__both.ids", "__both.decoded")

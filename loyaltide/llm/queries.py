@@ -143,8 +143,7 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Per document the number of tokens and the digests of its ids and of the decoded bytes."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -152,6 +152,8 @@ def test_bpe(edges, none):
     got = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect()
     assert Counter((r.doc_id, bytes(r.decoded)) for r in got) == Counter((i, (t or "").encode()) for i, t in EDGES)
     assert bpe.encode(none, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert bpe.round_trip(edges, RANKS, public_tokenizers.PATTERN).collect() == got
+    assert bpe.round_trip(none, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
 @pytest.fixture(scope="module")

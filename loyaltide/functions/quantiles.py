@@ -3,9 +3,9 @@
 Two methods share one result, ``(feature, quantiles array<double>)``:
 
 * ``accuracy=None`` is exact at any size. A first pass brackets each quantile
-  with a small sketch. A second pass counts the values inside the brackets, and
-  only those values (a fixed small share of the rows, already grouped by value)
-  are shuffled and ranked.
+  with a small sketch. A second pass counts the values inside the brackets, a
+  fixed small share of the rows, and stores these counts. They are dealt over
+  buckets, and a task ranks one bucket: about a thousandth of a bracket.
 * ``accuracy=n`` reads the data once and answers from the sketch alone, with a
   rank error of at most ``rows / n``.
 
@@ -26,6 +26,7 @@ from loyaltide.functions.columns import finite_double, total
 from loyaltide.plans.staging import stage
 
 BRACKET_ACCURACY = 5_000
+RANK_BUCKETS = 1024  # a power of two: parts of a bracket, of which only those with a wanted rank are ranked
 
 
 def column_quantiles(
@@ -87,47 +88,50 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
 
     long = values.unpivot([], columns, "feature", "value").filter(F.col("value.number").isNotNull())
 
-    # One row per column: bounds around each quantile and the rank asked for.
+    # One row per column: bounds around each quantile.
     # Grouping by column gives every column's sketches a task of their own to merge.
-    sketch = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("value.number", around, BRACKET_ACCURACY).alias("at"))
-    ranks = [
-        F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("n")).cast("long"), F.lit(1).cast("long"))
-        for p in ps
-    ]
-    brackets = sketch.select(
-        "feature",
-        F.slice("at", 1, k).alias("low"),
-        F.slice("at", k + 1, k).alias("high"),
-        F.array(*ranks).alias("ranks"),
-    )
+    brackets = long.groupBy("feature").agg(
+        F.percentile_approx("value.number", around, BRACKET_ACCURACY).alias("at")).select(
+        "feature", F.slice("at", 1, k).alias("low"), F.slice("at", k + 1, k).alias("high"))
 
     # A value is kept if it lies in a bracket; between brackets only the number
     # of rows matters, so those collapse into one null-keyed group per slot, and
     # so do the rows above the last bracket.
     # The broadcast side has one row per column of the input.
     in_slot = total([F.when(F.col("value.number") > F.col("high")[i], 1).otherwise(0) for i in range(k)])
-    counts = (
+    counts = stage(
         long.join(F.broadcast(brackets), "feature")
         .withColumn("slot", in_slot)
         .withColumn("candidate", F.when(F.col("value.number") >= F.get("low", F.col("slot")), F.col("value")))
         .groupBy("feature", "slot", "candidate")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows")), "quantile-counts")
+
+    # The values of a slot are dealt over buckets by a sketch of their own, and
+    # only buckets that hold a rank asked for are ranked: no task ranks a slot.
+    # The groups without a value lie in a slot's first bucket, before its values.
+    # Edges and spans have at most RANK_BUCKETS entries per column and slot.
+    edges = counts.filter(F.col("candidate").isNotNull()).groupBy("feature", "slot").agg(F.percentile_approx(
+        "candidate.number", [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)], BRACKET_ACCURACY).alias("edges"))
+    placed = with_bucket(counts.join(F.broadcast(edges), ["feature", "slot"], "left"),
+                         F.col("candidate.number"), RANK_BUCKETS).drop("edges")
+    before = Window.partitionBy("feature").orderBy("slot", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.sum("inside").over(Window.partitionBy("feature"))
+    ranks = F.array(*[
+        F.struct(F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("n")).cast("long"), F.lit(1).cast("long")).alias("rank"),
+                 F.lit(i).alias("at")) for i, p in enumerate(ps)])
+    spans = (
+        placed.groupBy("feature", "slot", "bucket").agg(F.sum("rows").alias("inside"))
+        .withColumns({"n": n, "earlier": F.coalesce(F.sum("inside").over(before), F.lit(0))})
+        .withColumn("asked", F.filter(ranks, lambda r: (
+            r["rank"] > F.col("earlier")) & (r["rank"] <= F.col("earlier") + F.col("inside"))))
+        .filter(F.size("asked") > 0).select("feature", "slot", "bucket", "earlier", "asked")
     )
-
-    # Rows in earlier slots: again one row per column, sent along with its ranks.
-    earlier = [F.coalesce(F.sum(F.when(F.col("slot") < i, F.col("rows"))), F.lit(0)) for i in range(k + 1)]
-    lookup = counts.groupBy("feature").agg(F.array(*earlier).alias("earlier")).join(
-        F.broadcast(brackets.select("feature", "ranks")), "feature")
-    within = Window.partitionBy("feature", "slot").orderBy(F.col("candidate").asc_nulls_first())
+    within = Window.partitionBy("feature", "slot", "bucket").orderBy(F.col("candidate").asc_nulls_first())
     ranked = (
-        counts.withColumn("reached", F.sum("rows").over(within))
-        .join(F.broadcast(lookup), "feature")
-        .withColumn("reached", F.col("reached") + F.get("earlier", F.col("slot")))
-        .withColumn("rank_asked", F.explode(F.filter(
-            F.arrays_zip(F.col("ranks").alias("rank"), F.sequence(F.lit(0), F.lit(k - 1)).alias("at")),
-            lambda r: (r["rank"] <= F.col("reached")) & (r["rank"] > F.col("reached") - F.col("rows")),
-        )))
+        placed.join(F.broadcast(spans), ["feature", "slot", "bucket"])
+        .withColumn("reached", F.col("earlier") + F.sum("rows").over(within))
+        .withColumn("rank_asked", F.explode(F.filter("asked", lambda r: (
+            r["rank"] <= F.col("reached")) & (r["rank"] > F.col("reached") - F.col("rows")))))
         .withColumn("found", F.coalesce(
             F.col("candidate"), F.raise_error(F.lit("quantile outside its bracket")).cast("struct<number:double,whole:bigint>")))
     )
@@ -138,6 +142,16 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
         "feature", F.array(*[F.col("found")[position[i]] for i in range(k)]).alias("quantiles")))
 
 
+def with_bucket(df: DataFrame, value: Column, buckets: int) -> DataFrame:
+    """Adds ``bucket``, the number of ``edges`` below the value, found by bisection in ``log2(buckets)`` projections."""
+    df, step = df.withColumn("bucket", F.lit(0)), buckets // 2
+    while step:
+        beyond = value > F.get("edges", F.col("bucket") + (step - 1))
+        df = df.withColumn("bucket", F.col("bucket") + F.when(beyond, step).otherwise(0))
+        step //= 2
+    return df
+
+
 def _for_each(columns: Sequence[str], found: DataFrame) -> DataFrame:
     """A row for every column, null where none was found; both sides have one row per column."""
     names = found.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("feature"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loyaltide.functions.columns import as_list, numeric_columns, string_columns, total
-from loyaltide.functions.quantiles import column_quantiles
+from loyaltide.functions.quantiles import column_quantiles, with_bucket
 from loyaltide.plans.staging import stage
 
 # Status limits, smallest bin share, and the retrain thresholds.
@@ -121,16 +121,6 @@ def drift_quantile_gap(reference: DataFrame, current: DataFrame, columns: Sequen
         "feature", F.round(F.coalesce(gap, F.lit(0.0)), 6).alias("quantile_gap"))
 
 
-def _with_bucket(df: DataFrame, buckets: int) -> DataFrame:
-    """Adds the number of ``edges`` below ``value``, found by bisection in ``log2(buckets)`` projections."""
-    df, step = df.withColumn("bucket", F.lit(0)), buckets // 2
-    while step:
-        beyond = F.col("value") > F.get("edges", F.col("bucket") + (step - 1))
-        df = df.withColumn("bucket", F.col("bucket") + F.when(beyond, step).otherwise(0))
-        step //= 2
-    return df
-
-
 def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic: the largest distance of the two empirical CDFs.
 
@@ -145,7 +135,7 @@ def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -
         _both(reference, current, columns), columns, [i / KS_BUCKETS for i in range(1, KS_BUCKETS)], KS_ACCURACY,
     ).filter(F.col("quantiles").isNotNull()).withColumnRenamed("quantiles", "edges"), "ks-edges")
     known = _long(reference, current, columns).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    placed = _with_bucket(known.join(F.broadcast(edges), "feature"), KS_BUCKETS).drop("edges")
+    placed = with_bucket(known.join(F.broadcast(edges), "feature"), F.col("value"), KS_BUCKETS).drop("edges")
 
     # At most KS_BUCKETS rows per column from here to the contenders.
     before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

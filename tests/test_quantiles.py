@@ -75,3 +75,29 @@ def test_long_values_beyond_double_precision_stay_exact(spark, rows):
     assert null_fill(spread).where(f"v = {big + 50}").count() == 2
     capped = winsorize(spread, ["v"]).agg({"v": "min"}).first()[0], winsorize(spread, ["v"]).agg({"v": "max"}).first()[0]
     assert capped == (big + 1, big + 99)
+
+
+def test_two_scans_and_small_rankings(spark, monkeypatch, plan):
+    """The input is read for the sketch and for the counts only, and one task ranks a part of a bracket."""
+    monkeypatch.setattr(quantiles, "BRACKET_ACCURACY", 200)
+    plans, counts = [], []
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        counts.append(quantiles_stage(df, label))
+        return counts[-1]
+
+    quantiles_stage = quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", watched)
+    table = quantiles_stage(spark.range(200_000).select(F.hash("id").alias("v")), "test-input")
+    found = column_quantiles(table, ["v"], [0.5])
+    ordered = sorted(r.v for r in table.collect())
+    assert found.first()["quantiles"] == [ordered[99_999]]
+    assert plans[0].split("Initial Plan")[0].count("FileScan parquet") == 2
+    candidates = counts[0].filter("candidate IS NOT NULL").count()
+    edges = counts[0].filter("candidate IS NOT NULL").groupBy("feature", "slot").agg(F.percentile_approx(
+        "candidate.number", [i / quantiles.RANK_BUCKETS for i in range(1, quantiles.RANK_BUCKETS)], 200).alias("edges"))
+    placed = quantiles.with_bucket(
+        counts[0].join(edges, ["feature", "slot"]), F.col("candidate.number"), quantiles.RANK_BUCKETS)
+    largest = placed.groupBy("feature", "slot", "bucket").count().agg({"count": "max"}).first()[0]
+    assert candidates > 1_000 and largest < candidates / 50

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -270,6 +271,48 @@ def test_words_that_give_an_entity_away(frame):
     assert "zanzibar" not in clean[0] and "<email>" in clean[0] and clean[100] == other[0][1]
 
 
+def plain_words(text):
+    """(word, begin, end) outside the finds."""
+    for a, _, b in plain_finds(text):
+        text = text[:a] + " " * (b - a) + text[b:]
+    return [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+
+
+def plain_word_spans(texts, generalise=0.8):
+    """Per text {(begin, end): disclosure}, by brute force: every entity against every word."""
+    different = sorted({t or "" for t in texts})
+    words = {t: {w for w, _, _ in plain_words(t)} for t in different if plain_finds(t)}
+    entities = {t: {(k, t[a:b].lower()) for a, k, b in plain_finds(t)} for t in words}
+    holding = {e: [t for t in words if e in entities[t]] for e in set().union(*entities.values())}
+    wanted, documents, n = set().union(*words.values()), Counter(), len(different)
+    for t in different:
+        documents.update(wanted & (words[t] if t in words else {w for w, _, _ in plain_words(t)}))
+    shares = {t: {} for t in words}
+    for e, held in holding.items():
+        both = Counter(w for t in held for w in words[t])
+        for w, k in both.items():
+            mutual = math.log((n + 2) * (k + 0.5) / ((len(held) + 1) * (documents[w] + 1)))
+            share = mutual / math.log(n / len(held)) if len(held) < n else 0.0
+            if share >= generalise:
+                for t in held:
+                    if w in words[t]:
+                        shares[t][w] = max(share, shares[t].get(w, 0.0))
+    return {t: {(a, b): shares[t][w] for w, a, b in plain_words(t) if w in shares[t]} for t in words}
+
+
+def test_word_spans_as_by_brute_force(spark, folder):
+    """Over a whole table, where every entity stands in one text only."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = plain_word_spans(texts.values())
+    assert sum(map(len, want.values())) > 0
+    for r in pii.spans(docs).collect():
+        got = {(s.begin, s.end) for s in r["all"] if s.kind == 4}
+        shares = want.get(texts[r.id], {})
+        assert got == shares.keys()
+        assert dict(r.disclosure) == pytest.approx({a: x for (a, _), x in shares.items()})
+
+
 def test_pii_edges(edges, none):
     got = pii.spans(edges).collect()
     assert Counter(r.id for r in got) == Counter(i for i, _ in EDGES) and pii.spans(none).count() == 0

@@ -313,6 +313,20 @@ def test_word_spans_as_by_brute_force(spark, folder):
         assert dict(r.disclosure) == pytest.approx({a: x for (a, _), x in shares.items()})
 
 
+def test_words_far_from_an_entity_are_marked_wherever_they_are(frame):
+    """Short words, numbers, the heading of a long text, and copies, which count once."""
+    long = "Ann Lee, house 4711. " + "some plain words of no weight " * 40 + "write to Lee, ann@x.example.com, or Ann"
+    docs = frame([(1, long), (2, long), (3, long)] + [(10 + i, f"some plain words of no weight, to write or {i}") for i in range(300)])
+    rows = {r.id: r for r in pii.spans(docs).collect()}
+    texts = [long] + [f"some plain words of no weight, to write or {i}" for i in range(300)]
+    want = plain_word_spans(texts)[long]
+    for i in (1, 2, 3):
+        assert {(s.begin, s.end) for s in rows[i]["all"] if s.kind == 4} == want.keys()
+    assert [long[a:b] for a, b in sorted(want)] == ["Ann", "Lee", "house", "4711", "Lee", "Ann"]
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert not re.search("Ann|Lee|4711", clean[2]) and clean[10] == texts[1]
+
+
 def test_pii_edges(edges, none):
     got = pii.spans(edges).collect()
     assert Counter(r.id for r in got) == Counter(i for i, _ in EDGES) and pii.spans(none).count() == 0

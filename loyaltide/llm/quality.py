@@ -65,20 +65,33 @@ def _word_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def terms(text: str) -> np.ndarray:
-    """Counts of the terms of one text."""
+    """Counts of the terms of one text; where it is cut into stretches makes no difference."""
     counts = np.zeros(TERMS, dtype=np.float64)
     whole = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    same = distinct = words = 0
+    same = words = begin = held = 0
+    last, distinct, new = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64), []
     for at in range(0, len(whole), STRETCH):
-        data = whole[at:at + STRETCH]
-        counts[:SHAPES] += _grams(_shape[data], 4, SHAPES)
-        counts[SHAPES:SHAPES + STRINGS] += _grams(data.astype(np.uint32), 3, STRINGS)
-        hashes = _word_hashes(data)
+        end = min(at + STRETCH, len(whole))
+        counts[:SHAPES] += _grams(_shape[whole[max(at - 3, 0):end]], 4, SHAPES)
+        counts[SHAPES:SHAPES + STRINGS] += _grams(whole[max(at - 2, 0):end].astype(np.uint32), 3, STRINGS)
+        if end < len(whole):  # words are cut at blanks
+            blanks = np.flatnonzero(_blank[whole[at:end]])
+            if not len(blanks):
+                continue
+            end = at + int(blanks[-1]) + 1
+        hashes, begin = _word_hashes(whole[begin:end]), end
         words += len(hashes)
-        same += int((hashes[1:] == hashes[:-1]).sum())
-        distinct += len(np.unique(hashes))
+        row = np.concatenate([last, hashes])
+        same += int((row[1:] == row[:-1]).sum())
+        last = row[-1:]
+        new.append(hashes)
+        held += len(hashes)
+        if held > len(distinct) or end == len(whole):  # so that the set is merged a few times only
+            distinct, new, held = np.unique(np.concatenate([distinct, *new])), [], 0
+    if new:
+        distinct = np.unique(np.concatenate([distinct, *new]))
     if words > 1:
-        levels = [same / words > level for level in SAME] + [distinct / words < level for level in DISTINCT]
+        levels = [same / words > level for level in SAME] + [len(distinct) / words < level for level in DISTINCT]
         counts[SHAPES + STRINGS:] = np.array(levels) * words
     return counts
 

@@ -246,6 +246,17 @@ def test_quality_edges(spark, edges, none):
     assert {r["__score"] for r in quality.scored(edges, unlabelled, score_col="__score").collect()} == {0.5}
 
 
+@pytest.mark.parametrize("stretch", [1, 7, 64, 1000])
+def test_quality_terms_do_not_depend_on_stretches(monkeypatch, stretch):
+    random = np.random.default_rng(stretch)
+    texts = ["alpha beta gamma delta " * 100, "one one  one two\n" * 60, "x" * 300, "", " ", "é 12 Ab\t" * 50 + "end",
+             " ".join(str(n) for n in random.integers(0, 40, 400)), "word " * 30 + "y" * 200 + " word"]
+    want = [quality.terms(t) for t in texts]
+    assert want[0][-1] == 400  # few distinct words
+    monkeypatch.setattr(quality, "STRETCH", stretch)
+    assert all((quality.terms(t) == w).all() for t, w in zip(texts, want))
+
+
 @given(st.text(alphabet="ab.@-+%1\n", max_size=40))
 def test_patterns(text):
     assert pii.finds(text) == plain_finds(text)

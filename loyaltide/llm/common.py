@@ -65,3 +65,19 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         kinds.append(f"c{len(df.columns)} {added[1]}")
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return plain.mapInArrow(run, ", ".join(kinds)).toDF(*names, *([added[0]] if added else []))
+
+
+def joined_back(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the columns of their group; ``groups`` holds each key of ``rows`` once, nulls as a key too.
+
+    Groups with 1/1024 of all rows or more, at most 1,024 of them, are
+    broadcast and their rows stay where they are; only rows of smaller groups
+    are shuffled. Both tables are read twice, so they should be stored.
+    """
+    groups = stage(groups.withColumnRenamed(key, "__group"), "groups")
+    large = F.col(size) * 1024 >= groups.agg(F.sum(size)).scalar()
+    hot = groups.where(large)
+    same = rows[key].eqNullSafe(groups["__group"])
+    common = rows.join(F.broadcast(hot), same)
+    rest = rows.join(F.broadcast(hot.select("__group")), same, "left_anti").join(groups.where(~large), same)
+    return common.unionByName(rest).drop("__group")

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyaltide.llm import bpe, chat, exact_dedup, merkle, mixing, pii, quality, sharding, simhash, tokenfile
+from loyaltide.llm import (bpe, chat, exact_dedup, hostrules, merkle, mixing, pii, quality, sharding, simhash,
+                           tokenfile)
 from loyaltide.llm.common import read
 from loyaltide.plans.staging import scratch_path
 
@@ -198,3 +199,46 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
     return found.select(F.col("id").alias("doc_id"), *map(count, range(4)),
                         F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("all").alias("spans"))
+
+
+@query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^ \t\n\x0B\f\r]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ \t\n\x0B\f\r]')) AS lines FROM d
+), windows AS (
+  SELECT rid, unnest(range(1, len(w) - 1)) AS i,
+    unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM w
+), again AS (
+  SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, s) > 1
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY rid
+), f AS (
+  SELECT w.*, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM w LEFT JOIN covered USING (rid)
+), flags AS (
+  SELECT *, [n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines,
+    n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 12 * n_words)] AS fails FROM f
+), hosts AS (
+  SELECT source, rule, count(*)::DOUBLE AS n, (count(*) FILTER (fails[rule]))::DOUBLE AS k
+  FROM flags, range(1, 6) r(rule) GROUP BY source, rule
+), means AS (
+  SELECT rule, sum(k) / sum(n) AS m, sum(k * k / n) AS q, sum(k) AS ks, sum(n) AS ns, sum(n * n) AS n2, count(*) AS h
+  FROM hosts GROUP BY rule
+), priors AS (
+  SELECT rule, m, (q - ks * m - (h - 1) * m * (1 - m)) / nullif(ns - n2 / ns, 0) AS v FROM means
+), rates AS (
+  SELECT source, max(CASE WHEN v > 0 THEN (k + greatest(m * (1 - m) / v - 1, 10) * m)
+    / (n + greatest(m * (1 - m) / v - 1, 10)) ELSE m END) > 0.5 AS rejected
+  FROM hosts JOIN priors USING (rule) GROUP BY source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, fails[1] OR fails[2] AS base_failed,
+  rejected AS host_rejected, NOT (fails[1] OR fails[2] OR rejected) AS kept
+FROM flags f JOIN rates r ON f.source IS NOT DISTINCT FROM r.source
+""")
+def op11_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's figures and verdict, its source taken as its host."""
+    return hostrules.judged(read(spark, folder, "documents"))

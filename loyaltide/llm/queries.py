@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyaltide.llm import (bpe, chat, exact_dedup, hostrules, merkle, mixing, pii, quality, sharding, simhash,
-                           tokenfile)
-from loyaltide.llm.common import read
+from loyaltide.llm import (bpe, chat, exact_dedup, hostrules, merkle, mixing, periods, pii, quality, sharding, simhash,
+                           tokenfile, veccodes)
+from loyaltide.llm.common import joined_back, read
 from loyaltide.plans.staging import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,3 +243,84 @@ FROM flags f JOIN rates r ON f.source IS NOT DISTINCT FROM r.source
 def op11_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's figures and verdict, its source taken as its host."""
     return hostrules.judged(read(spark, folder, "documents"))
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Rounds of assignment and update, written out one after the other."""
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT rid, p, arg_min(e, d * 16 + e) AS e, min(d) AS d FROM (
+    SELECT rid, s.p, e, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS d
+    FROM parts s JOIN b{i} b ON s.p = b.p) GROUP BY rid, p
+)"""
+
+    def updated(i: int) -> str:
+        return f"""sums{i} AS (
+  SELECT p, e, i, sum(v) AS s, count(*) AS n FROM (
+    SELECT s.p, e, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS i FROM parts s JOIN a{i} a ON s.rid = a.rid AND s.p = a.p
+  ) GROUP BY p, e, i
+), b{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(n.c, b.c) AS c FROM b{i} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sums{i} GROUP BY p, e) n ON b.p = n.p AND b.e = n.e
+)"""
+
+    steps = ", ".join(f"{assigned(i)}, {updated(i)}" for i in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(8) r(p)
+), b0 AS MATERIALIZED (
+  SELECT p, rid - 1 AS e, x AS c FROM parts WHERE rid <= 16
+), {steps}, {assigned(rounds)}, coded AS (
+  SELECT rid, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid
+), books AS (
+  SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), books
+"""
+
+
+@query(_codes_sql())
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's code of eight parts, its error and that of all vectors of its label."""
+    rows, books = veccodes.codes(read(spark, folder, "embeddings"))
+    text = ",".join(str(v) for book in books for entry in book for v in entry)
+    largest = F.lit(veccodes.LARGEST)
+    totals = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.least(
+        F.sum(F.col("error").cast("decimal(38,0)")), largest.cast("decimal(38,0)")).cast("long").alias("label_error"))
+    return joined_back(rows, totals, "label", "n").select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(hashlib.sha256(text.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of a tenth of the ids the words from some place on repeat with a period drawn from the id."""
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.size("words")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h")) \
+        .withColumn("words", F.when(F.col("h") % 10 == 0, hostrules.words_of(F.col("text")))) \
+        .withColumn("g", F.floor(F.col("h") / 10)) \
+        .withColumn("a", F.when(n > 0, F.col("g") % n).cast("int")) \
+        .withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    words, a, p = F.col("words"), F.col("a"), F.col("p")
+    repeated = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+    return rows.select("doc_id", F.when(a.isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's runs, the longest of them, and digests of all and of the text without repeats."""
+    found = periods.with_runs(planted_periods(read(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        "", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    longest = found.withColumn("best", best)
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

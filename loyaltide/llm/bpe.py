@@ -9,10 +9,14 @@ texts with the vocabulary and aggregates the bytes in order.
 
 Spark spreads the texts; a task holds a block of them and the words it has met.
 
+The query's work grows with the square of a word's length, so a word of over
+``LONG`` bytes, such as a run of letters without a blank, is contracted in the
+same order with its pairs in a heap: n * log(n) for n bytes. Words that are
+tokens themselves need neither.
+
 Defined cases: null text counts as empty and has no tokens; control strings of
-special tokens are ordinary text; repeated rows are encoded alike; a run of
-letters without a blank takes time in the square of its length; an empty table
-gives no rows.
+special tokens are ordinary text; repeated rows are encoded alike; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import base64
 import hashlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import duckdb
 import numpy as np
@@ -32,6 +37,7 @@ from pyspark.sql import functions as F
 from loyaltide.llm.common import mapped, quoted, text_of
 from loyaltide.llm.pieces import PieceEncoder
 
+LONG = 400  # bytes of a word that the query contracts
 WORDS = 25_000  # new words encoded by one query
 TOKENS = 500_000  # token positions decoded by one query
 ROWS = 500  # texts of an Arrow batch handled at once
@@ -70,7 +76,9 @@ class Coder:
                 if left is not None and right is not None:
                     pairs.append(left << 32 | right)
                     merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
+        self.merges = dict(zip(pairs, merged))
+        # Without a folder to spill into: a worker's own disk is not shared.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
         self.db.register("m", pa.table({"pair": pa.array(pairs, pa.uint64()), "merged": pa.array(merged, pa.uint64())}))
         self.db.register("v", pa.table({"id": pa.array(self.ids.values(), pa.uint32()),
                                         "bytes": pa.array(self.ids, pa.binary())}))
@@ -91,17 +99,44 @@ class Coder:
             found += [data[a:b] for a, b in zip(cuts, cuts[1:])]
         return found
 
+    def long_word(self, word: bytes) -> bytes:
+        """The same for one word of any length: the least pair next, the leftmost of equal ones."""
+        ids = [self.single[b] for b in word]
+        last = len(ids)
+        before, after = list(range(-1, last - 1)), list(range(1, last + 1))
+        merged = self.merges.get
+        heap = [(rank, i) for i in range(last - 1) if (rank := merged(ids[i] << 32 | ids[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j == last or merged(ids[i] << 32 | ids[j]) != rank:
+                continue  # one of the two is gone
+            ids[i], ids[j] = rank, -1
+            k = after[i] = after[j]
+            if k < last:
+                before[k] = i
+                if (new := merged(rank << 32 | ids[k])) is not None:
+                    heappush(heap, (new, i))
+            h = before[i]
+            if h >= 0 and (new := merged(ids[h] << 32 | rank)) is not None:
+                heappush(heap, (new, h))
+        return np.array([i for i in ids if i >= 0], dtype="<u4").tobytes()
+
     def pieces(self, pieces: Sequence[str]) -> list[bytes]:
         """The ids of pieces of text, as little-endian unsigned 32-bit integers."""
         cut = [self.pattern.findall(p) for p in pieces]
         distinct = dict.fromkeys(w for words in cut for w in words)
         unknown = []
         for word in distinct:
-            whole = self.ids.get(word.encode())
-            if whole is None:
-                unknown.append(word)
-            else:
+            raw = word.encode()
+            whole = self.ids.get(raw)
+            if whole is not None:
                 distinct[word] = whole.to_bytes(4, "little")
+            elif len(raw) > LONG:
+                distinct[word] = self.long_word(raw)
+            else:
+                unknown.append(word)
         distinct.update(zip(unknown, self.words([w.encode() for w in unknown])))
         return [b"".join(map(distinct.__getitem__, words)) for words in cut]
 

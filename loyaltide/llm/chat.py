@@ -92,7 +92,7 @@ def formatted(turns: DataFrame, tokenizer_path: str, conv_col: str = "conv_id",
         .sortWithinPartitions("conv", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, seq = kept_encoder(shared.value).tokenizer, TaskContext.get().partitionId(), 0
+        tokenizer, part, seq = kept_encoder(shared.value, literal=True).tokenizer, TaskContext.get().partitionId(), 0
 
         def done() -> pa.RecordBatch:
             text, begins, ends = render(held, learned)

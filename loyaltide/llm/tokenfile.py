@@ -4,22 +4,24 @@ An id is split into chunks of eight bits. Level 0 holds the low chunk of every
 id and a bitmap of those that go on, level 1 the next chunk of those, and so on;
 a rank directory counts the set bits before every 512, so the place of any
 token's next chunk is one lookup and a few bits away. Any token can be read
-without decoding its block.
+without decoding its block: codes are written without compression.
 
 Documents are dealt out by ranges of ids, so segments are in order by (part,
 seq). They are written by Spark's own writer, one row a segment, in whatever
 store the path names: part, seq, inside (ids of the part before it), doc_ids,
 ends (of each document, in tokens of the segment) and payload (the codes).
 
-Defined cases: null text counts as empty and has the end id alone; null ids come
+Defined cases: the string of an added token in a text is that token, as in the
+library; null text counts as empty and has the end id alone; ids are cast to long; null ids come
 first, repeated ids in the order of their texts; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -103,35 +105,47 @@ class Codes:
 
 
 class LibraryEncoder:
-    """Ids of texts by a tokenizer of the library, without special tokens."""
+    """Ids of texts by a tokenizer of the library, without the special tokens it would add around them.
 
-    def __init__(self, tokenizer_json: str):
+    The strings of added tokens in a text are those tokens, as the library has it, or ordinary text if ``literal``.
+    """
+
+    def __init__(self, tokenizer_json: str, literal: bool = False):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = literal
         size = self.tokenizer.get_vocab_size()
-        marks = self.tokenizer.pre_tokenizer
-        self.lengths = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)]) if marks else None
-        self.texts = PieceEncoder(self.pieces)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                 if not (literal and t.special)]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.lengths = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)])
+        self.by_pieces = PieceEncoder(self.pieces)
+
+    def texts(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """The ids of texts; those with the string of an added token go to the library whole."""
+        found = [bool(self.added and self.added.search(t)) for t in texts]
+        plain = self.by_pieces([t for t, whole in zip(texts, found) if not whole])
+        for text, whole in zip(texts, found):
+            yield np.array(next(self._encoded([text])), dtype="<u4").tobytes() if whole else next(plain)
 
     def pieces(self, pieces: Sequence[str]) -> list[bytes]:
         """Pieces are joined for the library and told apart by their lengths: a token has a mark for each byte."""
-        found: list[bytes] = []
-        plain = [p[0] == " " and not p[1].isspace() and not p[-1].isspace() if len(p) > 1 else False for p in pieces]
-        done: dict[int, bytes] = {}
-        some = [i for i, ok in enumerate(plain) if ok]
+        found: list[bytes] = [b""] * len(pieces)
+        plain = [p[0] == " " and len(p) > 1 and p[1:] == p.strip() for p in pieces]
+        some, others = ([i for i, ok in enumerate(plain) if ok is wanted] for wanted in (True, False))
         groups = [some[i:i + TOGETHER] for i in range(0, len(some), TOGETHER)]
-        for group, encoding in zip(groups, self._encoded(["".join(pieces[i] for i in g) for g in groups])):
+        names = [[pieces[i] for i in g] for g in groups]
+        for group, own, encoding in zip(groups, names, self._encoded(map("".join, names))):
             ids = np.array(encoding, dtype="<u4")
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(pieces[i].encode()) for i in group])) + 1
+            sizes = np.fromiter(map(len, map(str.encode, own)), np.int64, len(own))
+            ends = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) * 4 + 4).tolist()
             data = ids.tobytes()
-            done.update((i, data[a * 4:b * 4]) for i, a, b in zip(group, [0, *ends.tolist()], ends.tolist()))
-        others = [i for i, ok in enumerate(plain) if not ok]
-        done.update((i, np.array(ids, dtype="<u4").tobytes())
-                    for i, ids in zip(others, self._encoded([pieces[i] for i in others])))
-        found = [done[i] for i in range(len(pieces))]
+            for i, a, b in zip(group, [0, *ends], ends):
+                found[i] = data[a:b]
+        for i, ids in zip(others, self._encoded([pieces[i] for i in others])):
+            found[i] = np.array(ids, dtype="<u4").tobytes()
         return found
 
-    def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
+    def _encoded(self, texts: Iterable[str]) -> Iterator[list[int]]:
         for text in texts:
             yield self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
@@ -140,15 +154,15 @@ _sources: dict[bytes, str] = {}
 
 
 @lru_cache(maxsize=2)
-def _encoder(digest: bytes) -> LibraryEncoder:
-    return LibraryEncoder(_sources[digest])
+def _encoder(digest: bytes, literal: bool) -> LibraryEncoder:
+    return LibraryEncoder(_sources[digest], literal)
 
 
-def kept_encoder(tokenizer_json: str) -> LibraryEncoder:
+def kept_encoder(tokenizer_json: str, literal: bool = False) -> LibraryEncoder:
     """The encoder of this worker, which knows the pieces of its earlier tasks."""
     digest = hashlib.sha256(tokenizer_json.encode()).digest()
     _sources[digest] = tokenizer_json
-    return _encoder(digest)
+    return _encoder(digest, literal)
 
 
 def encoded_segments(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -190,8 +204,8 @@ def _segment(part: int, seq: int, inside: int, names: list, held: list[bytes]) -
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, **options) -> None:
-    """Write the ids of all texts under ``path``."""
-    encoded_segments(docs, tokenizer_path, **options).write.option("compression", "zstd").parquet(path)
+    """Write the ids of all texts under ``path``; codes are stored as they are, so that nothing need be inflated."""
+    encoded_segments(docs, tokenizer_path, **options).write.option("compression", "none").parquet(path)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -205,12 +219,18 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
 
 def documents(rows: DataFrame, of: Callable[[np.ndarray], int] = lambda ids: zlib.crc32(ids.astype("<u4").tobytes()),
               name: str = "ids_crc32", id_col: str = "doc_id") -> DataFrame:
-    """Columns id, start, n_tokens and what ``of`` makes of each document's ids, read from ``segments``."""
+    """Columns id, start, n_tokens and what ``of`` makes of each document's ids, read from ``segments``.
+
+    Every document's first and last id are also looked up by rank, and must be those of the decoded levels.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, ends = Codes(row["payload"]).all(), row["ends"]
-                begins = [0, *ends[:-1]]
+                codes, ends = Codes(row["payload"]), row["ends"]
+                ids, begins = codes.all(), [0, *ends[:-1]]
+                for b, e in zip(begins, ends):
+                    if b < e and (codes[b], codes[e - 1]) != (ids[b], ids[e - 1]):
+                        raise ValueError(f"a segment's rank directory is damaged near its token {b}")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array([row["start"] + b for b in begins], pa.int64()),
                      pa.array([e - b for b, e in zip(begins, ends)], pa.int64()),

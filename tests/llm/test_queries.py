@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -13,8 +15,9 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from bindings.check import mismatch
-from loyaltide.llm import pii, sharding, simhash
+from loyaltide.llm import bpe, pii, sharding, simhash
 from loyaltide.llm.queries import ORACLES, QUERIES
+from loyaltide.llm.tokenfile import LibraryEncoder
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -79,7 +82,6 @@ def test_bpe(spark, folder, texts):
 
 def test_token_file(spark, folder, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got, start = {r.doc_id: r for r in QUERIES["op8_token_file"](spark, folder).collect()}, 0
     for i, text in texts:
         ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], dtype="<u4")
@@ -87,6 +89,55 @@ def test_token_file(spark, folder, texts):
         start += len(ids)
 
 
+def awkward_texts():
+    rng = random.Random(1)
+    parts = [" ", "  ", "\n", " \n", "\t", "a", "b", "word", "É", "<|endoftext|>", "'s", "12", "☃", "\u3000", "\xa0", "\x1c",
+             "Zq", "...", "x" * 30, " .", " <|endof"]
+    return ["".join(rng.choices(parts, k=rng.choice([0, 1, 2, 3, 8, 30]))) for _ in range(3_000)] + ["a <|endoftext|> b"]
+
+
+def test_token_file_as_the_library_with_its_defaults():
+    source = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    library, ours = Tokenizer.from_str(source), LibraryEncoder(source)
+    for text, ids in zip(awkward_texts(), ours.texts(awkward_texts())):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert ours.pieces(["a"]) != [] and 50256 in np.frombuffer(next(ours.texts(["a <|endoftext|> b"])), "<u4")
+
+
+def test_pieces_forgotten_and_met_again_alter_nothing(texts):
+    source = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    some = [t for _, t in texts[:40]] + awkward_texts()[:500]
+    wanted = list(LibraryEncoder(source).texts(some))
+    ours = LibraryEncoder(source)
+    ours.by_pieces.known = 50
+    assert [next(ours.texts([t])) for t in some] == wanted
+
+
+@pytest.fixture(scope="module")
+def multi():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    return bpe.Coder(open(path, "rb").read(), public_tokenizers.PATTERN), tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_long_words_as_the_library(multi):
+    ours, library = multi
+    rng = random.Random(2)
+    long = ["".join(rng.choices("abcdeéth", k=n)) for n in (bpe.LONG - 1, bpe.LONG, bpe.LONG + 1, 3_000)] + ["x" * 3_000]
+    for text, ids in zip(awkward_texts() + long, ours.texts(awkward_texts() + long)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+
+
+def test_a_million_letters_without_a_blank(multi):
+    ours, _ = multi
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    start = time.process_time()
+    ids = next(ours.texts([text]))
+    assert ours.decode([ids]) == [text.encode()] and time.process_time() - start < 60
+
+
 def plain_finds(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):

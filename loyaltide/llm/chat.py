@@ -1,18 +1,20 @@
 """Chat formatting with a loss mask aligned by offsets.
 
-A conversation is rendered whole and encoded once, with the character offsets
-of its tokens. The spans of the assistant's texts are sorted, as are the
-tokens, so binary search finds the tokens that each span touches; where a token
-reaches over the edge of a text, its part of the loss is cut there.
+A conversation is rendered whole and encoded once, and the character offsets of
+its tokens are kept. The spans of the assistant's texts are sorted, as are the
+tokens, so binary search finds the tokens that each span touches: these are
+under the loss mask. What is learned is read back from mask and offsets alone:
+the characters of each stretch of masked tokens, without the parts of control
+strings that a token at its edge reaches into.
 
 Control strings inside roles and texts get a backslash, which read_turns takes
 off again: what looks like one after any number of backslashes gets one more.
 
 Defined cases: null roles and texts count as empty; turns with equal numbers
 follow each other by role and text, null numbers come first; a null conv_id is
-a conversation; an empty table gives no rows. A conversation of over ``TURNS``
-turns or ``CHARS`` characters is rendered in several rows, cut between turns, so
-none of them is held whole.
+a conversation; conversation and turn numbers are cast to long; an empty table
+gives no rows. A conversation is one row of any length, held whole by one task;
+where its text or ids would pass what a value can hold (2 GB), it raises.
 """
 
 from __future__ import annotations
@@ -20,21 +22,20 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loyaltide.llm.common import quoted, text_of
 from loyaltide.llm.tokenfile import kept_encoder
 
 ROLE, SAYS, END = "<s>[INST]", "[/INST]", "</s>"
-TURNS = 4096
-CHARS = 1 << 20
+LARGEST = (1 << 31) - 1  # bytes of a value
 _CONTROL = re.compile(r"([<\[])(\\*)(/?(?:s>|INST\]))")
 _ESCAPED = re.compile(r"([<\[])(\\*)\\(/?(?:s>|INST\]))")
+_TEMPLATE = re.compile(r"</?s>|\[/?INST\]")  # texts hold none: theirs are escaped
 _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
 
 
@@ -64,102 +65,96 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(text)) for role, text in _TURN.findall(formatted)]
 
 
-def aligned(offsets: np.ndarray, begins: list[int], ends: list[int]) -> tuple[np.ndarray, list[list[int]]]:
-    """Mask of the tokens (rows of begin, end) that spans touch, and per span the characters so covered."""
-    mask = np.zeros(len(offsets), dtype=np.uint8)
+def aligned(offsets: np.ndarray, begins: list[int], ends: list[int]) -> np.ndarray:
+    """Mask of the tokens (rows of begin, end, in order) that the spans touch."""
+    begins, ends = np.array(begins, dtype=np.int64), np.array(ends, dtype=np.int64)
     first = np.searchsorted(offsets[:, 1], begins, side="right")  # ends after the span begins
     last = np.searchsorted(offsets[:, 0], ends, side="left")  # begins before the span ends
-    covered = []
-    for a, b, begin, end in zip(first, last, begins, ends):
-        if begin < end and a < b:
-            mask[a:b] = 1
-            covered.append([max(begin, int(offsets[a, 0])), min(end, int(offsets[b - 1, 1]))])
-        else:
-            covered.append([begin, begin])
-    return mask, covered
+    some = (begins < ends) & (first < last)
+    edges = np.zeros(len(offsets) + 1, dtype=np.int64)
+    np.add.at(edges, first[some], 1)
+    np.add.at(edges, last[some], -1)
+    return (np.cumsum(edges[:-1]) > 0).astype(np.uint8)
+
+
+def learned_texts(formatted: str, mask: np.ndarray, offsets: np.ndarray) -> Iterator[str]:
+    """The texts under the mask, unescaped, one for each stretch of masked tokens."""
+    at = np.flatnonzero(mask)
+    if not len(at):
+        return
+    control = np.array([m.span() for m in _TEMPLATE.finditer(formatted)], dtype=np.int64).reshape(-1, 2)
+    cuts = np.flatnonzero(np.diff(at) > 1) + 1
+    for first, last in zip(at[np.concatenate([[0], cuts])], at[np.concatenate([cuts - 1, [len(at) - 1]])]):
+        begin, end = offsets[first, 0], offsets[last, 1]
+        ahead = np.searchsorted(control[:, 0], begin, side="right") - 1
+        if ahead >= 0:
+            begin = max(begin, control[ahead, 1])
+        behind = np.searchsorted(control[:, 1], end, side="left")
+        if behind < len(control):
+            end = min(end, control[behind, 0])
+        yield unescape(formatted[begin:end])
 
 
 def formatted(turns: DataFrame, tokenizer_path: str, conv_col: str = "conv_id", turn_col: str = "turn",
               role_col: str = "role", text_col: str = "text", learned: str = "assistant") -> DataFrame:
-    """A row per conversation: conv, part and seq (its order, if it takes several rows), formatted, ids, loss_mask
-    (a byte per token) and loss_spans (begin and end of the characters that are learned)."""
+    """A row per conversation: conv, formatted, ids, offsets (begin and end of every token in characters, as
+    little-endian 32-bit integers) and loss_mask (a byte per token)."""
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = turns.sparkSession.sparkContext.broadcast(file.read())
     rows = turns.select(quoted(conv_col).cast("long").alias("conv"), quoted(turn_col).cast("long").alias("turn"),
                         text_of(role_col).alias("role"), text_of(text_col).alias("text"))
-    # Equal keys meet in one range, so a conversation is cut by TURNS alone; a giant one spreads over ranges.
-    ordered = rows.withColumn("stretch", F.floor(F.col("turn") / TURNS)).repartitionByRange("conv", "stretch") \
-        .sortWithinPartitions("conv", "turn", "role", "text")
+    ordered = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, seq = kept_encoder(shared.value, literal=True).tokenizer, TaskContext.get().partitionId(), 0
+        tokenizer = kept_encoder(shared.value, literal=True).tokenizer
 
-        def done() -> pa.RecordBatch:
-            text, begins, ends = render(held, learned)
+        def done(conv: int | None, said: list[tuple[str, str]]) -> pa.RecordBatch:
+            text, begins, ends = render(said, learned)
             encoding = tokenizer.encode(text, add_special_tokens=False)
-            mask, covered = aligned(np.array(encoding.offsets).reshape(-1, 2), begins, ends)
+            offsets = np.array(encoding.offsets, dtype="<i4").reshape(-1, 2)
+            if max(len(text.encode("utf-8", "surrogatepass")), offsets.nbytes) > LARGEST:
+                raise ValueError(f"conversation {conv} is longer than a value can hold")
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int64()), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([text]),
-                 pa.array([encoding.ids], pa.list_(pa.int32())), pa.array([mask.tobytes()], pa.binary()),
-                 pa.array([covered], pa.list_(pa.list_(pa.int32())))],
-                ["conv", "part", "seq", "formatted", "ids", "loss_mask", "loss_spans"])
+                [pa.array([conv], pa.int64()), pa.array([text]), pa.array([encoding.ids], pa.list_(pa.int32())),
+                 pa.array([offsets.tobytes()], pa.binary()), pa.array([aligned(offsets, begins, ends).tobytes()], pa.binary())],
+                ["conv", "formatted", "ids", "offsets", "loss_mask"])
 
         held: list[tuple[str, str]] = []
-        now, size = None, 0
-        for batch in batches:
-            for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv", "role", "text"))):
-                if held and (conv != now or len(held) >= TURNS or size >= CHARS):
-                    yield done()
-                    seq, size, held = seq + 1, 0, []
-                now, size = conv, size + len(text)
-                held.append((role, text))
+        now = None
+        for conv, role, text in chain.from_iterable(
+                zip(*(batch.column(c).to_pylist() for c in ("conv", "role", "text"))) for batch in batches):
+            if held and conv != now:
+                yield done(now, held)
+                held = []
+            now = conv
+            held.append((role, text))
         if held:
-            yield done()
+            yield done(now, held)
 
     return ordered.select("conv", "role", "text").mapInArrow(
-        run, "conv long, part int, seq long, formatted string, ids array<int>, loss_mask binary, "
-             "loss_spans array<array<int>>").withColumnRenamed("conv", conv_col)
+        run, "conv long, formatted string, ids array<int>, offsets binary, loss_mask binary") \
+        .withColumnRenamed("conv", conv_col)
 
 
 def digests(rows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """What the rows of ``formatted`` say, read back from them, one row per conversation.
-
-    A digest needs its conversation's rows one after the other; they are
-    streamed, so a conversation of any size takes the memory of one row.
-    """
-    ordered = rows.select(quoted(conv_col).alias("conv"), "part", "seq", "formatted", "loss_spans") \
-        .repartition("conv").sortWithinPartitions("conv", "part", "seq")
+    """What the rows of ``formatted`` say, read back from them, one row per conversation: the turns from the text, and
+    what is learned from mask and offsets."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = None, None
-        out: list[tuple] = []
-
-        def closed(state) -> tuple:
-            count, said, chars, loss, size = state
-            return now, count, said.hexdigest(), chars, loss.hexdigest(), size
-
         for batch in batches:
-            for conv, text, spans in zip(*(batch.column(c).to_pylist() for c in ("conv", "formatted", "loss_spans"))):
-                if state is None or conv != now:
-                    if state is not None:
-                        out.append(closed(state))
-                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, said in read_turns(text):
-                    state[0] += 1
-                    state[1].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-                for begin, end in spans:
-                    learned = unescape(text[begin:end])
-                    state[2] += len(learned)
-                    state[3].update(learned.encode("utf-8", "surrogatepass"))
-                state[4] += len(text)
-            if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=schema)
-                out = []
-        if state is not None:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, closed(state)))], schema=schema)
-
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    schema = pa.schema(list(zip(names, kinds)))
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                   "loss_sha256 string, formatted_chars long").withColumnRenamed("conv_id", conv_col)
+            out: list[list] = [[] for _ in names]
+            for conv, text, offsets, mask in zip(*(column.to_pylist() for column in batch.columns)):
+                turns = read_turns(text)
+                said = hashlib.sha256("".join(f"{role}\n{words}\n" for role, words in turns).encode("utf-8", "surrogatepass"))
+                learned = "".join(learned_texts(text, np.frombuffer(mask, np.uint8),
+                                                np.frombuffer(offsets, "<i4").reshape(-1, 2)))
+                loss = hashlib.sha256(learned.encode("utf-8", "surrogatepass"))
+                for column, value in zip(out, (conv, len(turns), said.hexdigest(), len(learned), loss.hexdigest(), len(text))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+
+    return rows.select(quoted(conv_col), "formatted", "offsets", "loss_mask").mapInArrow(
+        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+             "formatted_chars long").withColumnRenamed("conv_id", conv_col)

@@ -27,11 +27,25 @@ def text_of(name: str) -> Column:
     return F.coalesce(quoted(name).cast("string"), F.lit(""))
 
 
+def plain_columns(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
+    """``docs`` with columns c0, c1, ... and the new name of each, so that no name of an operator's own can clash."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), lambda name: f"c{docs.columns.index(name)}"
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def numbered(docs: DataFrame, label: str) -> DataFrame:
     """A stored copy of ``docs`` with a unique number per row.
 
     The number is fixed by being written, so a later pass that names rows by it
     stays right if tasks run again. Ids that are null or repeat do no harm then.
+    ``docs`` must not have a column of that name; see ``plain_columns``.
     """
     return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), label)
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, numbered, quoted, text_of, without_rows
+from loyaltide.llm.common import ROW, numbered, plain_columns, quoted, text_of, without_rows
 from loyaltide.plans.staging import stage
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -63,9 +63,10 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        tracked: int = 4096) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    rows = numbered(docs, "rows")
+    plain, at = plain_columns(docs)
+    rows = numbered(plain, "rows")
     digests = stage(
-        rows.select(ROW, quoted(id_col).alias("id"),
-                    F.unhex(F.sha2(lower_ascii(text_of(text_col)), 256)).alias("digest")), "digests")
+        rows.select(ROW, F.col(at(id_col)).alias("id"),
+                    F.unhex(F.sha2(lower_ascii(text_of(at(text_col))), 256)).alias("digest")), "digests")
     lost = settled(digests, tracked).where(F.col("keep_row") != F.col(ROW))
-    return without_rows(rows, lost)
+    return without_rows(rows, lost).toDF(*docs.columns)

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by temperature.
 
-Token shares are raised to an exponent between 0 (all sources alike) and 1 (as
-in the corpus) and normalised. Bisection finds the flattest exponent that meets
+Token shares are raised to an exponent (0: all sources alike, 1: as in the corpus,
+above 1: sharper than that) and normalised. Bisection finds the flattest exponent that meets
 a repetition limit, or the one whose weights have a target entropy. The weights
 are then realised: each source's rows are permuted anew in every epoch, laid
 end to end, and cut into blocks; block k takes from source s the next
@@ -14,7 +14,8 @@ so a source with a third of all rows spreads over all tasks.
 
 Defined cases: null sources form a source; a row weighs its tokens and one more
 for its end, so empty and null texts count; rows that repeat are permuted as
-rows of their own; an empty table gives no rows.
+rows of their own; targets that no mix meets raise ValueError; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, numbered, quoted, text_of
+from loyaltide.llm.common import ROW, numbered, plain_columns, quoted, text_of
 from loyaltide.plans.staging import stage
 
 BUCKET_DIGITS = 4  # hex digits of the hash: 65,536 buckets per source and epoch
 SMALL = 100_000  # sources up to which their table is broadcast
+SHARPER = tuple(2.0 ** i for i in range(1, 7))  # exponents above 1 that are tried
+SHARPEST = SHARPER[-1]
 STEPS = 6  # bisection steps answered by one job
 
 
@@ -37,22 +40,28 @@ def words_and_end(text_col: str) -> Column:
     return F.regexp_count(text_of(text_col), F.lit(r"[^ \t\n\x0B\f\r]+")).cast("long") + 1
 
 
-def _measures(sources: DataFrame, most: int, exponents: list[float]) -> dict[float, tuple[float, float]]:
-    """For each exponent the entropy of the weights in bits, and the largest repetition when every row occurs."""
+def _measures(sources: DataFrame, most: int, exponents: list[float],
+              budget: int | None = None) -> dict[float, tuple[float, float]]:
+    """For each exponent the entropy of the weights in bits, and the largest repetition: when the largest source
+    occurs once, or of a mix of ``budget`` tokens."""
     tried = sources.select(F.explode(F.array(*map(F.lit, exponents))).alias("a"),
                            (F.col("tokens") / F.lit(most)).alias("share"))  # of the largest, so that nothing overflows
     power = F.pow("share", "a")
     rows = tried.groupBy("a").agg(F.sum(power).alias("z"), F.sum(power * F.log2(power)).alias("e"),
                                   F.max(power / F.col("share")).alias("r")).collect()
-    return {r.a: (math.log2(r.z) - r.e / r.z, r.r) for r in rows}
+    return {r.a: (math.log2(r.z) - r.e / r.z, r.r * (1 if budget is None else budget / (r.z * most))) for r in rows}
 
 
 def exponent_for(sources: DataFrame, most: int, max_repetition: float | None = None,
-                 target_entropy: float | None = None, steps: int = 48) -> float:
-    """The exponent in [0, 1] that meets the target; bisected, six steps to a job.
+                 target_entropy: float | None = None, steps: int = 48, budget: int | None = None) -> float:
+    """The exponent that meets the target; bisected, six steps to a job.
 
     ``sources`` has ``tokens`` per source, ``most`` is the largest of them. Both
-    entropy and repetition fall as the exponent grows.
+    entropy and repetition fall as the exponent grows. It is 0 to 1 for a mix
+    flatter than the corpus, and above 1, up to ``SHARPEST``, for a lower entropy
+    than the corpus has. A target out of reach raises ValueError: an entropy
+    above that of equal sources or below that of the sharpest mix, or a
+    repetition that even the corpus as it is exceeds.
     """
     if (max_repetition is None) == (target_entropy is None):
         raise ValueError("give either max_repetition or target_entropy")
@@ -61,14 +70,23 @@ def exponent_for(sources: DataFrame, most: int, max_repetition: float | None = N
         return measured[1] > max_repetition if target_entropy is None else measured[0] > target_entropy
 
     low, high = 0.0, 1.0
-    ends = _measures(sources, most, [low, high])
-    if not ends or not too_flat(ends[low]):
+    ends = _measures(sources, most, [low, high, *SHARPER], budget)
+    if not ends:
+        return low
+    if not too_flat(ends[low]):
+        if target_entropy is not None and target_entropy > ends[low][0] + 1e-9:
+            raise ValueError(f"no mix of these sources has an entropy of {target_entropy}; the most is {ends[low][0]}")
         return low
     if too_flat(ends[high]):
-        return high
+        sharper = [a for a in SHARPER if not too_flat(ends[a])]
+        if max_repetition is not None or not sharper:
+            raise ValueError(f"out of reach: {max_repetition=}, {target_entropy=}; at exponent 1 repetition is "
+                             f"{ends[high][1]}, at {SHARPEST} entropy is {ends[SHARPEST][0]}")
+        high = sharper[0]
+        low = high / 2
     for _ in range(0, steps, STEPS):
         grid = [low + (high - low) * i / 2 ** STEPS for i in range(1, 2 ** STEPS)]
-        measured = _measures(sources, most, grid)
+        measured = _measures(sources, most, grid, budget)
         first, last = 0, 2 ** STEPS
         while last - first > 1:
             middle = (first + last) // 2
@@ -83,12 +101,14 @@ def weighted_sources(tokens: DataFrame, max_repetition: float | None, target_ent
     """A row per source: tokens, weight, and repetition, how often the mix goes through the source."""
     totals = stage(tokens.groupBy("src").agg(F.sum("tokens").alias("tokens")), "sources")
     most = totals.agg(F.max("tokens")).first()[0] or 1
-    exponent = exponent_for(totals, most, max_repetition, target_entropy)
+    exponent = exponent_for(totals, most, max_repetition, target_entropy, budget=budget)
     power = F.pow(F.col("tokens") / F.lit(most), F.lit(exponent))
     norm = totals.agg(F.sum(power)).first()[0] or 1.0
     weight = power / F.lit(norm)
-    # Without a budget the largest source occurs exactly once, and smaller ones at least once.
+    # Without a budget the rarest source occurs exactly once: the largest up to exponent 1, beyond it the smallest.
     often = power * F.lit(most) / F.col("tokens") if budget is None else weight * F.lit(float(budget)) / F.col("tokens")
+    if budget is None and exponent > 1:
+        often = often / F.lit(totals.agg(F.min(often)).first()[0])
     return totals.select("src", "tokens", weight.alias("weight"), often.alias("repetition"))
 
 
@@ -138,10 +158,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                **targets) -> DataFrame:
     """The rows of the mix with all their columns; a row that occurs n times is there n times."""
-    rows = numbered(docs, "rows")
-    tokens = stage(rows.select(ROW, quoted(id_col).alias("id"), source_key(source_col).alias("src"),
-                               words_and_end(text_col).alias("tokens")), "tokens")
-    counts = mixed(tokens, **targets).groupBy(ROW).agg(F.count(F.lit(1)).alias("__times"))
+    plain, at = plain_columns(docs)
+    rows = numbered(plain, "rows")
+    tokens = stage(rows.select(ROW, F.col(at(id_col)).alias("id"), source_key(at(source_col)).alias("src"),
+                               words_and_end(at(text_col)).alias("tokens")), "tokens")
+    counts = mixed(tokens, **targets).groupBy(ROW).agg(F.count(F.lit(1)).alias("times"))
     again = rows.join(counts, ROW)
-    return again.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int")))) \
-        .drop(ROW, "__times", "__copy")
+    return again.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))) \
+        .drop(ROW, "times", "copy").toDF(*docs.columns)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, mapped, numbered, quoted, small_batches, text_of
+from loyaltide.llm.common import ROW, mapped, numbered, plain_columns, quoted, small_batches, text_of
 from loyaltide.plans.staging import stage
 
 KINDS = ("email", "ip", "card", "phone", "word")
@@ -46,9 +46,10 @@ BITMAP = 1 << 22  # bits of a bitmap of words or texts: half a megabyte, whateve
 REMEMBERED = 1 << 18  # texts that a task knows to have counted
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _LOCAL_LONGEST = 4096  # characters looked at first for what stands before an @
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match begins where a run of digits does: a later digit of the run has no better chance.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W_]+")
@@ -59,13 +60,12 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
     free = 0
     for match in _DOMAIN.finditer(text):
         low = max(free, match.start() - _LOCAL_LONGEST)
-        local = _LOCAL_END.search(text[low:match.start()])
-        if local and local.start() == 0 and low > free:
-            low = free
-            local = _LOCAL_END.search(text[low:match.start()])
+        local = _LOCAL.match(text[low:match.start()][::-1])
+        if local and local.end() == match.start() - low and low > free:
+            local = _LOCAL.match(text[free:match.start()][::-1])
         if local:
             free = match.end()
-            yield low + local.start(), free
+            yield match.start() - local.end(), free
 
 
 def _luhn(digits: str) -> bool:
@@ -274,8 +274,9 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **lim
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = 0.95,
               **limits) -> DataFrame:
     """``docs`` with every find replaced by its kind, and disclosing words by ``<word>`` or nothing; all columns stay."""
-    rows = numbered(docs, "rows")
-    marks = spans(rows.drop(id_col).withColumnRenamed(ROW, "__id"), "__id", text_col, **limits) \
+    plain, named = plain_columns(docs)
+    rows = numbered(plain, "rows")
+    marks = spans(rows.select(F.col(ROW).alias("id"), F.col(named(text_col)).alias("text")), "id", "text", **limits) \
         .select(F.col("id").alias(ROW), "all", "disclosure")
     at, columns = docs.columns.index(text_col), [f"c{i}" for i in range(len(docs.columns))]
 
@@ -296,8 +297,7 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i)
                                               for i in range(len(columns))], columns)
 
-    marked = rows.join(marks.withColumnsRenamed({"all": "__all", "disclosure": "__shares"}), ROW)
-    return mapped(marked.select(*map(quoted, docs.columns), "__all", "__shares"), run, dropped=2)
+    return mapped(rows.join(marks, ROW).drop(ROW), run, dropped=2).toDF(*docs.columns)
 
 
 def listed(column: str):

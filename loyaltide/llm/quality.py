@@ -178,7 +178,9 @@ def _truncated(rows: np.ndarray, dimensions: int, extra: int = 16, rounds: int =
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` and the score of each text, with all columns."""
+    """``docs`` and the score of each text, with all columns; raises if the input has one named ``score_col``."""
+    if score_col.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input has a column {score_col}; name the score otherwise")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at, columns = docs.columns.index(text_col), [f"c{i}" for i in range(len(docs.columns) + 1)]
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, numbered, quoted, small_batches, text_of, without_rows
+from loyaltide.llm.common import ROW, numbered, plain_columns, quoted, small_batches, text_of, without_rows
 from loyaltide.plans.staging import stage
 
 BITS = 64
@@ -303,14 +303,23 @@ def links(values: DataFrame, radius: int = 3) -> DataFrame:
 def labels(edges: DataFrame) -> DataFrame:
     """Columns node, label for the nodes of the links (a, b): nodes of one component share a label.
 
-    Each round maps every node to the least of itself and its neighbours and
-    contracts the links, which at least halves them on the way to none.
+    Each round puts the nodes in an order of its own, by a hash, maps every node
+    to the first of itself and its neighbours, and contracts the links. A node
+    stays only if it comes first for itself or a neighbour, so of a chain some
+    half are left, whatever their numbers: rounds grow with the logarithm of the
+    longest chain.
     """
     edges = stage(edges.distinct(), "edges")
-    result = None
+    result, turn = None, 0
     while not edges.isEmpty():
+        turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")), "step")
+
+        def ranked(node: str):
+            return F.struct(F.xxhash64(node, F.lit(turn)), F.col(node))
+
+        first = F.least(ranked("a").cast("struct<h:long,n:long>"), F.min(ranked("b").cast("struct<h:long,n:long>")))
+        step = stage(both.groupBy("a").agg(first.alias("first")).select("a", F.col("first.n").alias("to")), "step")
         if result is None:
             result = step.select(F.col("a").alias("node"), F.col("to").alias("label"))
         else:
@@ -344,10 +353,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             radius: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay, the one with the smallest id of each group, with all their columns."""
-    rows = numbered(docs, "rows")
-    prints = stage(fingerprints(rows.select(ROW, quoted(id_col).alias("id"), text_of(text_col).alias("text")),
+    plain, at = plain_columns(docs)
+    rows = numbered(plain, "rows")
+    prints = stage(fingerprints(rows.select(ROW, F.col(at(id_col)).alias("id"), text_of(at(text_col)).alias("text")),
                                 [ROW, "id"]), "prints")
     # Rows are numbered in the order of (id, row), so that the smallest number is one row even if ids repeat.
     order = prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull(), "id", ROW)).alias("id"))
     kept = grouped(order, radius).groupBy("component_id").agg(F.min("id").alias("id")).select(f"id.{ROW}")
-    return without_rows(rows, prints.select(ROW).join(kept, ROW, "left_anti"))
+    return without_rows(rows, prints.select(ROW).join(kept, ROW, "left_anti")).toDF(*docs.columns)

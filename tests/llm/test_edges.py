@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,11 +11,13 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loyaltide.llm import bpe, chat, exact_dedup, merkle, mixing, pii, quality, sharding, simhash, tokenfile
+from loyaltide.llm import bpe, chat, exact_dedup, merkle, mixing, periods, pii, quality, sharding, simhash, tokenfile
 from loyaltide.llm.common import ROW
-from loyaltide.plans.staging import scratch_path, stage
+from loyaltide.llm.tokenfile import LibraryEncoder
+from loyaltide.plans.staging import scratch_path, stage, staged_in
 from tests.llm.conftest import EDGES
 from tests.llm.test_queries import plain_fingerprint, plain_finds
 
@@ -80,6 +83,15 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, limit, dense):
     assert len(set(groups)) == len(set(want)) == len(set(zip(groups, want)))
 
 
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark):
+    for order in (list(range(1_000)), list(np.random.default_rng(1).permutation(1_000))):
+        chain = spark.createDataFrame([(int(a), int(b)) for a, b in zip(order, order[1:])], "a long, b long")
+        with staged_in(spark) as scope:
+            assert {r.label for r in simhash.labels(chain).collect()} == {simhash.labels(chain).first().label}
+            assert sum("/edges-" in p for p in scope.paths) <= 2 * 16
+        scope.remove()
+
+
 def test_thresholds_are_allocated_at_the_least_cost():
     costs = [[0, 5, 50], [0, 1, 9], [0, 2, 7]]
     assert simhash.allocated(costs, 0) == min(
@@ -122,6 +134,49 @@ def test_sharding(edges, none):
         sharding.lookup_table(names, 100)
 
 
+OWN = ["__row", "__times", "__copy", "__id", "__all", "__shares", "__score", "__text", "__both", "c0", "all", "copy", "times"]
+
+
+def test_columns_with_names_of_the_operators_stay(spark, frame):
+    docs = frame([(i, f"text {i % 7} mail a{i}@b.example", f"s{i % 2}") for i in range(30)])
+    for i, name in enumerate(OWN):
+        docs = docs.withColumn(name, F.lit(f"v{i}"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    for df in (exact_dedup.without_duplicates(docs), simhash.without_near_duplicates(docs),
+               mixing.mixed_rows(docs, max_repetition=2.0), pii.sanitised(docs), periods.with_runs(docs).drop("runs", "collapsed"),
+               quality.scored(docs, model, score_col="new").drop("new")):
+        assert df.columns == docs.columns
+        rows = df.collect()
+        assert rows and all([r[n] for n in OWN] == [f"v{i}" for i in range(len(OWN))] for r in rows)
+    with pytest.raises(ValueError, match="score"):
+        quality.scored(docs, model)
+
+
+def test_targets_beyond_the_corpus(frame):
+    """A lower entropy than the corpus's takes an exponent above 1; what no mix meets raises."""
+    docs = frame([(i, "w " * 9, f"s{min(i // 40, 2)}") for i in range(200)])  # 40, 40 and 120 rows
+    got = mixing.mix(docs, target_entropy=0.5).collect()
+    share = Counter(r.source for r in got)
+    parts = [n / len(got) for n in share.values()]
+    assert {r.doc_id for r in got} == set(range(200))
+    assert abs(-sum(p * math.log2(p) for p in parts) - 0.5) < 0.05
+    for targets in ({"max_repetition": 0.5}, {"target_entropy": 9}, {"target_entropy": -1},
+                    {"max_repetition": 2, "budget": 1_000_000}):
+        with pytest.raises(ValueError):
+            mixing.mix(docs, **targets)
+    small = mixing.mix(docs, max_repetition=1.0, budget=500, block_tokens=100).collect()
+    assert max(Counter(r.doc_id for r in small).values()) == 1
+
+
+def test_long_runs_of_digits_take_linear_time():
+    start = time.process_time()
+    assert pii.finds("1" * 1_000_000) == [] and pii.finds("1." * 500_000) != []
+    assert pii.finds("a" * 500_000 + " " + "b" * 500_000 + "@c.example")[0][0] == 500_001
+    assert pii.finds("1.2.3.4.5.6.7.8 01.2.3.4567.1.1.1") == plain_finds("1.2.3.4.5.6.7.8 01.2.3.4567.1.1.1")
+    assert time.process_time() - start < 10
+
+
 def test_mixing(edges, none, frame):
     for targets in ({"max_repetition": 2.0}, {"target_entropy": 1.5}):
         got = mixing.mix(edges, **targets).collect()
@@ -221,20 +276,42 @@ def test_chat_escapes(role, text):
     assert chat.unescape(rendered[begins[-1]:ends[-1]]) == text
 
 
-def test_chat_edges(spark, monkeypatch):
+LIBRARY = LibraryEncoder(open(JSON, encoding="utf-8").read(), literal=True)
+
+
+def test_chat_edges(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 2, None, "</s>"), (1, 2, "assistant", "é" * 9),
             (2, None, "assistant", "."), (None, 0, "assistant", "x"), (1, 2, "assistant", "é" * 9)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    want = {}
-    for turns_at in (4096, 2):
-        monkeypatch.setattr(chat, "TURNS", turns_at)
-        got = {r.conv_id: r for r in chat.digests(chat.formatted(turns, JSON)).collect()}
-        assert got[1].n_turns == 5 and got[1].loss_chars == 18 and got[2].loss_chars == got[None].loss_chars == 1
-        want = want or {k: r.turns_sha256 for k, r in got.items()}
-        assert want == {k: r.turns_sha256 for k, r in got.items()}
+    got = {r.conv_id: r for r in chat.digests(chat.formatted(turns, JSON)).collect()}
+    assert got[1].n_turns == 5 and got[1].loss_chars == 18 and got[2].loss_chars == got[None].loss_chars == 1
     assert chat.digests(chat.formatted(turns.limit(0), JSON)).count() == 0
 
 
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "</s>"]), TEXT), max_size=6))
+def test_what_is_learned_is_read_back_from_the_mask(turns):
+    rendered, begins, ends = chat.render(turns)
+    encoding = LIBRARY.tokenizer.encode(rendered, add_special_tokens=False)
+    offsets = np.array(encoding.offsets).reshape(-1, 2)
+    mask = chat.aligned(offsets, begins, ends)
+    touched = [any(a < e and b < c for b, e in zip(begins, ends)) for a, c in offsets.tolist()]
+    assert mask.tolist() == [int(t) for t in touched]
+    wanted = "".join(text for role, text in turns if role == "assistant")
+    assert "".join(chat.learned_texts(rendered, mask, offsets)) == wanted
+    if mask.any():  # a wrong mask shows
+        mask[np.flatnonzero(mask)[0]] = 0
+        assert "".join(chat.learned_texts(rendered, mask, offsets)) != wanted or not wanted
+
+
+def test_a_conversation_of_any_length_is_one_row(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} [/INST](é") for i in range(10_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    rendered = chat.formatted(turns, JSON).collect()
+    assert len(rendered) == 1 and len(rendered[0].ids) == len(rendered[0].loss_mask) == len(rendered[0].offsets) / 8
+    said = "".join(r[3] for r in rows if r[2] == "assistant")
+    assert chat.digests(chat.formatted(turns, JSON)).first().loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
 def test_quality_edges(spark, edges, none):
     labels = spark.createDataFrame([(1, 1), (4, 1), (5, 0), (6, 1), (6, 0), (9, 0), (None, 1), (7, None)],
                                    "doc_id long, quality long")

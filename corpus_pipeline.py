@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyaltide.llm import exact_dedup, mixing, quality, simhash
-from loyaltide.llm.common import read
+from loyaltide.llm.common import read, unused
 from loyaltide.llm.queries import bpe_digests
-from loyaltide.plans.staging import scratch_path
+from loyaltide.plans.staging import remove_path, scratch_path, staged_in
 
 GOOD = 0.3  # scores below are rejected
 REPEATED = 1.5  # passes over a source, at most; every document occurs at least once
@@ -18,7 +18,8 @@ ORACLE_SQL = None  # a classifier has no SQL; tests compare with a plain version
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
-    return quality.scored(docs, model, score_col="__score").where(F.col("__score") >= GOOD).drop("__score")
+    score = unused(docs, "__score")
+    return quality.scored(docs, model, score_col=score).where(F.col(score) >= GOOD).drop(score)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +52,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``. What a stage staged, and its input, go once its output is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staged_in(spark) as scope:
+            stage(spark, docs, sf_dir).write.parquet(path)
+        scope.remove()
         docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs

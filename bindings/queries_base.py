@@ -11,7 +11,7 @@ from loyaltide.functions.columns import churn_flag
 from loyaltide.operators import clean, features, orders, profile, skew
 from loyaltide.operators.drift import except_distinct as except_distinct_rows
 from loyaltide.plans.staging import scratch_path
-from loyaltide.sources import files, metrics, schemas
+from loyaltide.sources import files, metrics, records, schemas
 from loyaltide.streaming.score import risk_tier as add_risk_tier
 
 STAMP = "'%Y-%m-%d %H:%M:%S'"
@@ -35,7 +35,7 @@ def _lines(t: Tables) -> DataFrame:
     return t.raw("lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
         F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"),
-        F.col("l_returnflag").alias("flag"), F.date_format("l_shipdate", files.TIMESTAMP_FORMAT).alias("shipped"))
+        F.col("l_returnflag").alias("flag"), F.date_format("l_shipdate", records.TIMESTAMP_FORMAT).alias("shipped"))
 
 
 @query(f"""
@@ -57,14 +57,47 @@ def csv_corrupt_quarantine(t: Tables) -> DataFrame:
     damaged = _lines(t).withColumn(
         "price", F.when(F.col("flag") == "R", F.lit("n/a")).otherwise(F.col("price").cast("string")))
     damaged.write.option("header", True).csv(path)
-    intact, corrupt = files.split_corrupt(files.read_csv(t.spark, path, LINE_SCHEMA))
-    intact = intact.select(F.lit(False).alias("is_corrupt"), "order_id")
-    corrupt = corrupt.select(
+    found = records.ingest_csv(t.spark, path, LINE_SCHEMA, scratch_path(t.spark, "csv-ingested"), "order_id")
+    intact = found.good.select(F.lit(False).alias("is_corrupt"), "order_id")
+    corrupt = found.corrupt.select(
         F.lit(True).alias("is_corrupt"), F.split("line", ",")[0].cast("long").alias("order_id"))
     return intact.unionByName(corrupt).groupBy("is_corrupt").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("orders"))
 
 
+TEXT_SCHEMA = schemas.table(doc_id="long!", source="string", text="string")
+
+
+@query("""
+SELECT doc_id, source, length(text) AS n_chars, sha256(text) AS text_sha256, 'good' AS part FROM documents
+UNION ALL SELECT NULL, NULL, length(text), sha256(text), 'without key' FROM documents WHERE doc_id % 50 = 0
+UNION ALL SELECT NULL, NULL, NULL, sha256('x' || doc_id || ',' || source || ',bad'), 'corrupt' FROM documents WHERE doc_id % 50 = 1""")
+def csv_many_splits(t: Tables) -> DataFrame:
+    """Whole texts with their line breaks and quotes, as one file that is read in many splits."""
+    path, size = scratch_path(t.spark, "csv-texts"), "spark.sql.files.maxPartitionBytes"
+    docs = t.raw("documents").select("doc_id", "source", "text")
+    keyless = docs.filter("doc_id % 50 = 0").withColumn("doc_id", F.lit(None).cast("long"))
+    bad = docs.filter("doc_id % 50 = 1").select(F.concat(F.lit("x"), "doc_id").alias("doc_id"), "source", F.lit("bad").alias("text"))
+    written = docs.unionByName(keyless).withColumn("doc_id", F.col("doc_id").cast("string")).unionByName(bad)
+    written.coalesce(1).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                      ignoreTrailingWhiteSpace=False).csv(path)
+    before = t.spark.conf.get(size)
+    t.spark.conf.set(size, "128k")  # of this write alone, which ends inside
+    try:
+        found = records.ingest_csv(t.spark, path, TEXT_SCHEMA, scratch_path(t.spark, "texts"), "doc_id", multi_line=True)
+    finally:
+        t.spark.conf.set(size, before)
+
+    def part(df, name, text):
+        return df.select(df["doc_id"] if "doc_id" in df.columns else F.lit(None).cast("long").alias("doc_id"),
+                         df["source"] if name == "good" else F.lit(None).cast("string").alias("source"),
+                         (F.lit(None) if name == "corrupt" else F.length(text)).cast("long").alias("n_chars"),
+                         F.sha2(text, 256).alias("text_sha256"), F.lit(name).alias("part"))
+
+    return part(found.good, "good", "text").unionByName(part(found.without_key, "without key", "text")) \
+        .unionByName(part(found.corrupt, "corrupt", "line"))
+
+
 def _orders_with_gaps(t: Tables) -> DataFrame:
     """Orders beside the part of the same number; orders beyond the last part have none."""
     return t.raw("orders").join(t.raw("part"), F.col("o_orderkey") == F.col("p_partkey"), "left").select(

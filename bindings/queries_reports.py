@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bindings.queries_base import rnd, when
 from bindings.registry import query
 from bindings.tables import DELIVERED, Tables
-from loyaltide.operators import drift, features, health, profile, reports
+from loyaltide.operators import asof, drift, features, health, profile, reports
 from loyaltide.plans.pipelines import user_features as build_user_features
 from loyaltide.plans.staging import stage
 
@@ -53,6 +53,42 @@ def user_features(t: Tables) -> DataFrame:
     return build_user_features(t.build_transformed())
 
 
+CUTS = ("1996-07-01", "1998-01-01", "1998-01-02", "1999-03-15", "2000-11-01")
+FREIGHT_RATIO = "avg(CASE WHEN total_payment_value > 0 THEN total_freight / total_payment_value ELSE 0.0 END)"
+TREND = ("CASE WHEN avg(total_payment_value) > 0 THEN (avg(total_payment_value) FILTER (rn <= 2) - avg(total_payment_value)) "
+         "/ avg(total_payment_value) ELSE 0.0 END")
+
+
+@query(f"""
+SELECT strftime(as_of, '%Y-%m-%d %H:%M:%S') AS as_of, customer_unique_id,
+  CAST(date_diff('day', CAST(max(order_purchase_timestamp) AS DATE), CAST(as_of AS DATE)) AS INTEGER) AS recency_days,
+  count(*) AS frequency, {rnd('avg(total_payment_value)', 'avg_order_value')},
+  {rnd('avg(review_score)', 'avg_review_score')}, {rnd('avg(num_payment_types)', 'avg_payment_types')},
+  {rnd('avg(avg_installments)', 'avg_installments')}, {rnd(FREIGHT_RATIO, 'avg_freight_ratio')},
+  {rnd('avg(CASE WHEN purchase_dow IN (1, 7) THEN 1 ELSE 0 END)', 'weekend_purchase_ratio')},
+  {rnd('avg(purchase_hour)', 'avg_purchase_hour')}, {rnd('avg(num_categories)', 'avg_categories_per_order')},
+  {rnd('avg(delivery_delay_days)', 'avg_delivery_delay')}, {rnd('avg(num_items)', 'avg_items_per_order')},
+  {rnd('sum(total_payment_value)', 'monetary')}, {rnd('sum(total_freight)', 'total_freight')},
+  CAST(coalesce(sum(len(string_split(categories, '|'))), 0) AS INTEGER) AS total_category_count,
+  CAST(sum(num_items) AS BIGINT) AS total_items_purchased, min(review_score) AS min_review_score,
+  max(delivery_delay_days) AS max_delivery_delay, {rnd('coalesce(stddev_samp(review_score), 0.0)', 'std_review_score')},
+  arg_min(primary_payment_type, (order_purchase_timestamp, order_id)) AS primary_payment_type,
+  arg_min(customer_state, (order_purchase_timestamp, order_id)) AS customer_state, {rnd(TREND, 'spend_trend')},
+  CASE WHEN any_value(next_at) < as_of + INTERVAL 180 DAYS THEN 0
+       WHEN (SELECT max(order_purchase_timestamp) FROM v_transformed) >= as_of + INTERVAL 180 DAYS THEN 1 END AS churn_label
+FROM (
+  SELECT t.*, as_of, row_number() OVER (PARTITION BY as_of, customer_unique_id
+           ORDER BY order_purchase_timestamp DESC, order_id DESC) AS rn,
+    (SELECT min(o.order_purchase_timestamp) FROM v_transformed o WHERE o.customer_unique_id = t.customer_unique_id
+       AND o.order_purchase_timestamp >= as_of) AS next_at
+  FROM v_transformed t JOIN (SELECT unnest([{", ".join(f"TIMESTAMP '{c}'" for c in CUTS)}]) AS as_of) c
+    ON t.order_purchase_timestamp < as_of WHERE t.customer_unique_id IS NOT NULL)
+GROUP BY as_of, customer_unique_id""")
+def features_as_of(t: Tables) -> DataFrame:
+    """Every customer's features at five dates, from the orders before, with labels from after."""
+    return asof.features_as_of(t.transformed, CUTS)
+
+
 # --- reports -----------------------------------------------------------------
 
 @query(f"""

@@ -9,7 +9,8 @@ from bindings.queries_base import rnd, when
 from bindings.registry import query
 from bindings.tables import Tables
 from loyaltide.plans.staging import scratch_path
-from loyaltide.sources import files, versions
+from loyaltide.sources import digests, files, versions
+from loyaltide.streaming import merge
 
 CUT = "2000-01-01"
 ORDER_COLUMNS = f"o_orderkey, o_custkey, o_orderstatus, {rnd('o_totalprice')}, {when('o_orderdate')}, o_orderpriority"
@@ -254,6 +255,49 @@ def cluster_by(t: Tables) -> DataFrame:
     return versions.read_table(t.spark, path)
 
 
+@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def zorder(t: Tables) -> DataFrame:
+    """The orders along a curve through customer, date and price."""
+    path = _many_files(t)
+    versions.z_order(t.spark, path, ["o_custkey", "o_orderdate", "o_totalprice"], files=16)
+    return versions.read_table(t.spark, path)
+
+
+CORRECTED = "o_orderstatus = 'P' AND o_orderkey % 7 = 0"
+
+
+@query(f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority_before,
+       CASE WHEN {CORRECTED} THEN 'CORRECTED' ELSE o_orderpriority END AS o_orderpriority_after
+FROM orders WHERE ({CORRECTED}) OR (o_orderstatus = 'P' AND o_orderkey % 11 = 0)""")
+def version_diff_digest(t: Tables) -> DataFrame:
+    """Orders of one state are corrected and some added; copies are compared by digests of state and key range."""
+    path, by = _table(t, "digested"), ["o_orderstatus"]
+    orders = t.raw("orders")
+    pending = F.col("o_orderstatus") == "P"
+    digests.write_copy(orders.filter(~pending | (F.col("o_orderkey") % 11 != 0)), path, 1, "o_orderkey", by)
+    digests.write_copy(versions.updated(orders, F.expr(CORRECTED), {"o_orderpriority": "CORRECTED"}), path, 2, "o_orderkey", by)
+    return digests.changed_between(t.spark, path, 1, 2, "o_orderkey", "o_orderpriority", by, added_and_removed=True)
+
+
+@query("""
+SELECT user_id, event_id, event_type, round(value, 6) AS value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def stream_upsert(t: Tables) -> DataFrame:
+    """The last event of every user: events land in four parts, are merged as a stream, and the first batch once more."""
+    landing, table, checkpoint = (_table(t, n) for n in ("landing", "last-events", "checkpoint"))
+    events = t.raw("events").select("user_id", "event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    events.repartition(4, "event_id").write.parquet(landing)
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    merge.start_merge(stream, table, checkpoint, "user_id", ["ts", "event_id"], available_now=True).awaitTermination()
+    again = t.spark.read.parquet(landing).filter(F.pmod("event_id", F.lit(4)) == 0)
+    if merge.merge_batch(again, 0, table, "user_id", ["ts", "event_id"]):
+        raise ValueError("a merged batch was merged again")
+    # Under a number of its own it is merged, and changes nothing: its rows are not newer than the stored ones.
+    merge.merge_batch(again, 10**6, table, "user_id", ["ts", "event_id"])
+    return versions.read_table(t.spark, table)
+
+
 @query("""
 SELECT CAST(16 AS BIGINT) AS files, count(*) AS rows, true AS has_bytes FROM orders""")
 def table_stats(t: Tables) -> DataFrame:

@@ -30,9 +30,14 @@ def as_list(value: str | Sequence[str]) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def finite_double(name: str) -> Column:
     """The column as double, with NaN as null so that it takes no quantile rank."""
-    value = F.col(name).cast("double")
+    value = quoted(name).cast("double")
     return F.when(~F.isnan(value), value).alias(name)
 
 

@@ -8,47 +8,16 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from loyaltide.functions.columns import rows_where
-from loyaltide.plans.staging import stage
+from loyaltide.plans.staging import scratch_path
 from loyaltide.sources import schemas
+from loyaltide.sources.records import ingest_csv
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-CORRUPT = "_corrupt_record"
 MULTI_LINE = ("reviews",)  # tables whose texts customers wrote, line breaks included
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    """Read CSV under a declared schema; unparsable lines keep their text in ``_corrupt_record``.
-
-    A quote inside quoted text is doubled. ``multi_line`` lets quoted text hold
-    line breaks; such a file is read by one task, so it is off where it can be.
-    """
-    return (
-        spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-
-
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The intact rows, and the unparsable lines for a quarantine table.
-
-    The parsed rows are staged first. On a plain CSV scan Spark only parses the
-    columns a query uses, so a line could be corrupt for one query and intact for
-    the next; it also means the text is parsed once.
-    """
-    parsed = stage(df, "parsed-csv")
-    is_corrupt = F.col(CORRUPT).isNotNull()
-    return parsed.filter(~is_corrupt).drop(CORRUPT), parsed.filter(is_corrupt).select(F.col(CORRUPT).alias("line"))
-
-
 def drop_null_keys(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull())
 
@@ -60,30 +29,29 @@ def null_key_report(df: DataFrame, key: str) -> DataFrame:
     ).select(F.lit(key).alias("key"), "rows", "null_keys")
 
 
-def ingest_table(spark: SparkSession, path: str, schema: StructType, key: str | None = None,
-                 multi_line: bool = False) -> DataFrame:
-    """The intact rows of a CSV file that have the key."""
-    df, _ = split_corrupt(read_csv(spark, path, schema, multi_line))
-    return drop_null_keys(df, key) if key else df
+def ingest_table(spark: SparkSession, source: str, schema: StructType, key: str | None = None,
+                 multi_line: bool = False, path: str | None = None) -> DataFrame:
+    """The intact rows of CSV files that have the key; rejected ones stay beside them under ``path``."""
+    return ingest_csv(spark, source, schema, path or scratch_path(spark, "ingested"), key, multi_line).good
 
 
-def ingest_orders(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The nine order tables, by name."""
-    return _ingest(spark, folder, schemas.ORDER_FILES, schemas.ORDER_TABLES)
+def ingest_orders(spark: SparkSession, folder: str, target: str | None = None) -> dict[str, DataFrame]:
+    """The nine order tables, by name; stored under ``target`` if given."""
+    return _ingest(spark, folder, schemas.ORDER_FILES, schemas.ORDER_TABLES, target)
 
 
-def ingest_clicks(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def ingest_clicks(spark: SparkSession, folder: str, target: str | None = None) -> dict[str, DataFrame]:
     """The clickstream tables; the two item-property files become one table."""
-    tables = _ingest(spark, folder, schemas.CLICK_FILES, schemas.CLICK_TABLES)
+    tables = _ingest(spark, folder, schemas.CLICK_FILES, schemas.CLICK_TABLES, target)
     parts = tables.pop("item_props_1"), tables.pop("item_props_2")
     return {**tables, "item_properties": union_parts(*parts)}
 
 
-def _ingest(spark: SparkSession, folder: str, files: Mapping[str, str],
-            declared: Mapping[str, StructType]) -> dict[str, DataFrame]:
+def _ingest(spark: SparkSession, folder: str, files: Mapping[str, str], declared: Mapping[str, StructType],
+            target: str | None) -> dict[str, DataFrame]:
     return {
         name: ingest_table(spark, f"{folder}/{file}", declared[name], schemas.REQUIRED_KEYS.get(name),
-                           multi_line=name in MULTI_LINE)
+                           name in MULTI_LINE, f"{target}/{name}" if target else None)
         for name, file in files.items()
     }
 

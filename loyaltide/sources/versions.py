@@ -9,7 +9,8 @@ partition column ``snapshot``, and read with a filter on that column.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from typing import Any
 
@@ -17,12 +18,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyaltide.functions.columns import as_list
+from loyaltide.functions.columns import as_list, quoted
+from loyaltide.operators.zorder import z_ordered
 from loyaltide.plans.staging import remove_path, stage
 from loyaltide.sources.files import partition_values_as_written
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 SNAPSHOT = "snapshot"
+LISTED = 1_000  # touched partitions that are named in a filter; more are joined
 
 # Partition columns of the named tables, and their predictions' key.
 TABLE_PARTITIONS = {
@@ -148,12 +151,51 @@ def migrate(spark: SparkSession, parquet_path: str, path: str, partition_by: Seq
     return True
 
 
+def _pruned(rows: DataFrame, spots: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``rows``, reading only folders that may be among ``spots``: up to ``LISTED`` of them are named in the filter."""
+    named = spots.limit(LISTED + 1).collect()
+    if len(named) > LISTED:
+        return rows
+    for column in columns:
+        values = {r[column] for r in named}
+        wanted = quoted(column).isin(*[v for v in values if v is not None])
+        rows = rows.filter(wanted | quoted(column).isNull() if None in values else wanted)
+    return rows
+
+
 def _matching(rows: DataFrame, spots: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
     """Rows whose partition is, or with ``left_anti`` is not, one of ``spots``; null matches null."""
+    if how == "left_semi":
+        rows = _pruned(rows, spots, columns)
     same = reduce(Column.__and__, [rows[c].eqNullSafe(spots[c]) for c in columns])
     return rows.join(spots, same, how)
 
 
+@contextmanager
+def _named_if_lost(rows: DataFrame, path: str) -> Iterator[None]:
+    """While files at ``path`` are replaced, the staged rows may be the only copy: an error says where they are."""
+    try:
+        yield
+    except Exception as error:
+        folders = sorted({f.rsplit("/", 1)[0] for f in rows.inputFiles()})
+        raise RuntimeError(f"{path} was left half written; its rows are staged under {folders}") from error
+
+
+def _replace(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Overwrite a table without partitions by staged rows."""
+    with _named_if_lost(rows, path):
+        write_table(rows, path)
+
+
+def _require_flat(spark: SparkSession, path: str) -> None:
+    """Raise for a table with partitions, which a rewrite as one range of files would lose."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    inside = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    parts = [s.getPath().getName() for s in inside if s.isDirectory() and "=" in s.getPath().getName()]
+    if parts:
+        raise ValueError(f"{path} is partitioned ({parts[0]}, ...); rewrite its partitions one by one")
+
+
 def rewrite(target: DataFrame, path: str, change: Callable[[DataFrame], DataFrame], touched: DataFrame,
             partition_by: Sequence[str] = ()) -> None:
     """Store ``change(rows)`` for the partitions that occur in ``touched``, and leave all other files alone.
@@ -163,12 +205,13 @@ def rewrite(target: DataFrame, path: str, change: Callable[[DataFrame], DataFram
     """
     spark = target.sparkSession
     if not partition_by:
-        write_table(stage(change(target), "changed-table"), path)
+        _replace(spark, path, stage(change(target), "changed-table"))
         return
     spots = stage(touched.select(*partition_by).distinct(), "touched-partitions")
     rows = stage(change(_matching(target, spots, partition_by)), "changed-partitions")
-    rows.hint("rebalance", *partition_by).write.mode("overwrite").option("compression", "snappy") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    with _named_if_lost(rows, path):
+        rows.hint("rebalance", *partition_by).write.mode("overwrite").option("compression", "snappy") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     stored = read_table(spark, path).select(
         *partition_by, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
     emptied = _matching(_matching(stored, spots, partition_by), rows.select(*partition_by).distinct(),
@@ -270,11 +313,25 @@ def file_stats(table: DataFrame) -> DataFrame:
 
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
     """Rewrite a table without partitions into files of about the target size; the rows stay the same."""
+    _require_flat(spark, path)
     table = read_table(spark, path)
     size = file_stats(table).first()["bytes"]
-    write_table(stage(table, "compacted").repartition(max(1, -(-size // target_bytes))), path)
+    rows = stage(table, "compacted")
+    with _named_if_lost(rows, path):
+        write_table(rows.repartition(max(1, -(-size // target_bytes))), path)
 
 
 def cluster_by(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
     """Rewrite a table without partitions ranged and sorted by the columns."""
-    write_table(clustered(stage(read_table(spark, path), "unclustered"), columns), path)
+    _require_flat(spark, path)
+    rows = stage(read_table(spark, path), "unclustered")
+    with _named_if_lost(rows, path):
+        write_table(clustered(rows, columns), path)
+
+
+def z_order(spark: SparkSession, path: str, columns: Sequence[str], files: int | None = None) -> None:
+    """Rewrite a table without partitions along a curve through all of the columns, so that a filter on any skips files."""
+    _require_flat(spark, path)
+    rows = stage(read_table(spark, path), "unordered")
+    with _named_if_lost(rows, path):
+        write_table(z_ordered(rows, columns, files), path)

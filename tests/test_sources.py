@@ -1,11 +1,12 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loyaltide.plans.staging import scratch_path, shared_dir, stage, staged_in
-from loyaltide.sources import files, metrics, schemas
+from loyaltide.sources import files, metrics, records, schemas
 
 
 def write_text(path, name, *lines):
@@ -16,13 +17,13 @@ def test_corrupt_lines_and_null_keys_are_set_aside(spark, tmp_path, rows):
     schema = schemas.table(order_id="string!", n="int", t="timestamp")
     write_text(tmp_path, "o.csv", "order_id,n,t", "a,1,2024-01-01 10:00:00", "b,x,2024-01-01 10:00:00", ",3,",
                "c,4,not a time")
-    read = files.read_csv(spark, str(tmp_path / "o.csv"), schema)
-    intact, corrupt = files.split_corrupt(read)
-    assert rows(corrupt) == [("b,x,2024-01-01 10:00:00",), ("c,4,not a time",)]
-    assert rows(intact.select("order_id", "n")) == [("a", 1), (None, 3)]
-    assert len(schema) == 3
+    found = records.ingest_csv(spark, str(tmp_path / "o.csv"), schema, scratch_path(spark, "o"), "order_id")
+    assert rows(found.corrupt) == [("b,x,2024-01-01 10:00:00",), ("c,4,not a time",)]
+    assert rows(found.good.select("order_id", "n")) == [("a", 1)] and rows(found.without_key.select("n")) == [(3,)]
+    assert len(schema) == 3 and found.good.columns == schema.names
     assert files.ingest_table(spark, str(tmp_path / "o.csv"), schema, "order_id").count() == 1
-    assert tuple(files.null_key_report(intact, "order_id").first()) == ("order_id", 2, 1)
+    every = found.good.unionByName(found.without_key)
+    assert tuple(files.null_key_report(every, "order_id").first()) == ("order_id", 2, 1)
 
 
 def test_all_order_and_click_tables_are_read(spark, tmp_path):
@@ -99,7 +100,61 @@ def test_union_needs_the_same_columns(spark):
 
 def test_quoted_texts_may_hold_line_breaks_and_quotes(spark, rows, tmp_path):
     (tmp_path / "r.csv").write_text('id,comment\n1,"two\nlines, ""quoted"""\n2,plain\n')
-    df = files.read_csv(spark, str(tmp_path / "r.csv"), T.StructType.fromDDL("id int, comment string"), multi_line=True)
-    intact, bad = files.split_corrupt(df)
-    assert rows(intact) == [(1, 'two\nlines, "quoted"'), (2, "plain")]
-    assert bad.count() == 0
+    found = records.ingest_csv(spark, str(tmp_path / "r.csv"), T.StructType.fromDDL("id int, comment string"),
+                               scratch_path(spark, "r"), multi_line=True)
+    assert rows(found.good) == [(1, 'two\nlines, "quoted"'), (2, "plain")]
+    assert found.corrupt.count() == 0
+
+
+def awkward_rows(seed, number):
+    rng = random.Random(seed)
+    parts = ["a", "é", '"', ",", "\n", "\n\n", " ", '""', "x" * 20, "\t", "'"]
+    return [(i, "".join(rng.choices(parts, k=rng.randint(1, 12))).strip() or "-", i % 3) for i in range(number)]
+
+
+def csv_text(rows):
+    quoted_rows = [f'{i},"{text.replace(chr(34), chr(34) * 2)}",{n}' for i, text, n in rows]
+    return "id,comment,n\n" + "\n".join(quoted_rows) + "\n"
+
+
+@pytest.mark.parametrize("size", [7, 64, 1_000, 10**6])
+def test_records_are_found_wherever_the_splits_fall(spark, rows, tmp_path, size):
+    schema = T.StructType.fromDDL("id int, comment string, n int")
+    for name, seed in (("a.csv", 1), ("b.csv", 2)):
+        (tmp_path / name).write_text(csv_text(awkward_rows(seed, 40)))
+    wanted = sorted(awkward_rows(1, 40) + awkward_rows(2, 40), key=repr)
+    keys = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        read = records.read_records(spark, str(tmp_path), schema)
+        assert rows(read.drop(records.CORRUPT)) == wanted and read.filter(records.CORRUPT + " IS NOT NULL").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_carriage_returns_bad_records_and_endless_quotes(spark, rows, tmp_path, monkeypatch):
+    schema = T.StructType.fromDDL("id int, comment string")
+    (tmp_path / "r.csv").write_bytes(b'id,comment\r\n1,"a\nb"\r\nx,"c\nd"\r\n\r\n2,plain\r\n')
+    found = records.ingest_csv(spark, str(tmp_path / "r.csv"), schema, scratch_path(spark, "r"), multi_line=True)
+    assert rows(found.good) == [(1, "a\nb"), (2, "plain")] and rows(found.corrupt) == [('x,"c\nd"',)]
+    monkeypatch.setattr(records, "LONGEST", 3)
+    (tmp_path / "e.csv").write_text('id,comment\n1,ok\n2,"never\n3,closed\n4,b\n5,c\n')
+    lines = records.records(spark, str(tmp_path / "e.csv")).select("record")
+    assert rows(lines) == sorted([("id,comment",), ("1,ok",), ('2,"never',), ("3,closed",), ("4,b",), ("5,c",)], key=repr)
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_a_header_in_another_order_raises(spark, tmp_path, multi_line):
+    schema = T.StructType.fromDDL("id int, n int")
+    write_text(tmp_path, "good.csv", "id,n", "1,2")
+    write_text(tmp_path, "swapped.csv", "n,id", "1,2")
+    good = records.ingest_csv(spark, str(tmp_path / "good.csv"), schema, scratch_path(spark, "g"), multi_line=multi_line)
+    assert good.good.count() == 1
+    with pytest.raises(Exception, match="n,id|header"):
+        records.ingest_csv(spark, str(tmp_path / "swapped.csv"), schema, scratch_path(spark, "s"), multi_line=multi_line)
+    empty = tmp_path / "empty.csv"
+    empty.write_text("id,n\n")
+    assert records.ingest_csv(spark, str(empty), schema, scratch_path(spark, "e"), multi_line=multi_line).good.count() == 0

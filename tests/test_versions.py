@@ -121,3 +121,34 @@ def test_named_tables_and_migration(spark, path):
         versions.write_named(predictions, path, "predictions")
     stats = versions.file_stats(versions.read_table(spark, f"{path}/predictions")).first()
     assert stats.rows == 4 and stats.bytes > 0
+
+
+def test_a_partitioned_table_is_not_flattened(spark, path):
+    versions.write_table(customers(spark, ("a", 0, "X"), ("b", 0, "Y")), path, partition_by=BY)
+    for rewrite in (versions.compact, lambda s, p: versions.cluster_by(s, p, ["churn_label"]),
+                    lambda s, p: versions.z_order(s, p, ["churn_label"])):
+        with pytest.raises(ValueError, match="partitioned"):
+            rewrite(spark, path)
+    assert set(versions.read_table(spark, path).columns) >= set(BY)
+
+
+def test_a_change_reads_only_the_touched_partitions(spark, path, plan, monkeypatch):
+    versions.write_table(customers(spark, *[(f"c{i}", 0, f"S{i % 5}") for i in range(50)]), path, partition_by=BY)
+    spots = spark.createDataFrame([("S1",), (None,)], "customer_state string")
+    read = versions._matching(versions.read_table(spark, path), spots, BY)
+    assert "PartitionFilters: [((customer_state" in plan(read) and "= S1) OR isnull(customer_state" in plan(read)
+    assert {r.customer_state for r in read.collect()} == {"S1"}
+    monkeypatch.setattr(versions, "LISTED", 1)  # too many to name: joined
+    read = versions._matching(versions.read_table(spark, path), spots, BY)
+    assert {r.customer_state for r in read.collect()} == {"S1"}
+
+
+def test_a_failed_rewrite_says_where_the_rows_are(spark, path, monkeypatch):
+    versions.write_table(customers(spark, ("a", 0, "X")), path)
+
+    def broken(*args, **kwargs):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(versions, "write_table", broken)
+    with pytest.raises(RuntimeError, match="staged under .*changed-table"):
+        versions.delete_customer(spark, path, "a")

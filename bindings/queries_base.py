@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings.registry import query
-from bindings.tables import SOLD, Tables
+from bindings.tables import SOLD, Tables, WIDE_COLUMNS
 from loyaltide.functions.columns import churn_flag
 from loyaltide.operators import clean, features, orders, profile, skew
 from loyaltide.operators.drift import except_distinct as except_distinct_rows
@@ -213,14 +213,12 @@ def schema_conformance(t: Tables) -> DataFrame:
 NULLS_SQL = " UNION ALL ".join(f"""
 SELECT '{name}' AS "column", count(*) AS rows, count(*) - count({name}) AS null_count,
        round((count(*) - count({name})) * 100.0 / count(*), 6) AS null_pct
-FROM v_wide""" for name in (
-    "order_id", "total_price", "review_score", "categories", "order_delivered_customer_date"))
+FROM v_wide""" for name in WIDE_COLUMNS)
 
 
 @query(NULLS_SQL)
 def null_profile(t: Tables) -> DataFrame:
-    return profile.null_profile(t.wide.select(
-        "order_id", "total_price", "review_score", "categories", "order_delivered_customer_date"))
+    return profile.null_profile(t.wide)
 
 
 @query(f"""

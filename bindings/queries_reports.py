@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from bindings.queries_base import rnd, when
 from bindings.registry import query
-from bindings.tables import DELIVERED, Tables
-from loyaltide.operators import asof, drift, features, health, profile, reports
+from bindings.tables import DELIVERED, FEATURE_COLUMNS, FEATURE_NUMERIC, WIDE_COLUMNS, WIDE_NUMERIC, Tables
+from loyaltide.operators import asof, drift, features, health, profile, reports, rollups, sketches
 from loyaltide.plans.pipelines import user_features as build_user_features
 from loyaltide.plans.staging import stage
 
@@ -164,12 +164,12 @@ SELECT '{c}' AS feature, round(CAST(min({c}) AS DOUBLE), 4) AS min, round(CAST(m
        round(CAST(quantile_disc({c}, 0.25) AS DOUBLE), 4) AS p25,
        round(CAST(quantile_disc({c}, 0.5) AS DOUBLE), 4) AS p50,
        round(CAST(quantile_disc({c}, 0.75) AS DOUBLE), 4) AS p75, count(*) - count({c}) AS nulls
-FROM v_wide""" for c in ("num_items", "total_price", "avg_installments", "review_score"))
+FROM v_wide""" for c in WIDE_NUMERIC)
 
 
 @query(SUMMARY_SQL, digits=4)
 def numeric_summary(t: Tables) -> DataFrame:
-    return profile.numeric_summary(t.wide, ["num_items", "total_price", "avg_installments", "review_score"])
+    return profile.numeric_summary(t.wide)
 
 
 @query("""
@@ -179,12 +179,9 @@ def categorical_distribution(t: Tables) -> DataFrame:
     return profile.categorical_distribution(t.raw("part"), "p_brand")
 
 
-MEANS = ("frequency", "monetary", "avg_review_score", "recency_days", "avg_freight_ratio")
-
-
-@query(f"SELECT churn_label, {', '.join(rnd(f'avg({c})', c, 4) for c in MEANS)} FROM v_features GROUP BY 1", digits=4)
+@query(f"SELECT churn_label, {', '.join(rnd(f'avg({c})', c, 4) for c in FEATURE_NUMERIC)} FROM v_features GROUP BY 1", digits=4)
 def label_feature_means(t: Tables) -> DataFrame:
-    return profile.label_feature_means(t.features, columns=MEANS)
+    return profile.label_feature_means(t.features)
 
 
 CORRELATED = ("total_payment_value", "total_price", "num_items", "avg_installments", "review_score",
@@ -453,19 +450,71 @@ def row_lineage(t: Tables) -> DataFrame:
         "lineitem": t.raw("lineitem"), "orders": t.raw("orders"), "order_wide": t.wide, "user_features": t.features})
 
 
-WIDE_CHECKED = {c: False for c in (
-    "order_id", "order_purchase_timestamp", "customer_unique_id", "total_price", "categories", "review_score")}
-FEATURES_CHECKED = {c: c == "monetary" for c in ("customer_unique_id", "monetary", "spend_trend", "churn_label")}
+PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+WIDE_CHECKED = {c: False for c in WIDE_COLUMNS}
+FEATURES_CHECKED = {c: c == "monetary" for c in FEATURE_COLUMNS}
 
 
 @query(f"SELECT stage, \"column\", anomaly, {rnd('value')} FROM ("
        + " UNION ALL ".join([
-           _health_sql("part", "part", {c: False for c in ("p_partkey", "p_type", "p_brand")}, None),
+           _health_sql("part", "part", {c: False for c in PART_COLUMNS}, None),
            _health_sql("v_paired", "paired", PAIRED, "part"),
            _health_sql("v_wide", "order_wide", WIDE_CHECKED, "v_paired"),
            _health_sql("v_features", "user_features", FEATURES_CHECKED, "v_wide")]) + ")", views=HEALTH_VIEWS)
 def health_check(t: Tables) -> DataFrame:
     return health.health_check(
-        {"part": t.raw("part").select("p_partkey", "p_type", "p_brand"), "paired": _paired(t),
-         "order_wide": t.wide.select(*WIDE_CHECKED), "user_features": t.features.select(*FEATURES_CHECKED)},
+        {"part": t.raw("part"), "paired": _paired(t), "order_wide": t.wide, "user_features": t.features},
         {"paired": [c for c, critical in PAIRED.items() if critical], "user_features": ["monetary"]})
+
+
+def _day(t: Tables) -> DataFrame:
+    """Orders with their day, month and state."""
+    day = F.to_date("o_orderdate")
+    return t.raw("orders").select("o_custkey", "o_orderstatus", day.alias("day"))
+
+
+@query("""
+SELECT 'day' AS level, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS period, o_orderstatus, count(DISTINCT o_custkey) AS customers
+FROM orders GROUP BY ALL
+UNION ALL SELECT 'month', strftime(o_orderdate, '%Y-%m'), o_orderstatus, count(DISTINCT o_custkey) FROM orders GROUP BY ALL
+UNION ALL SELECT 'year', strftime(o_orderdate, '%Y'), NULL, count(DISTINCT o_custkey) FROM orders GROUP BY ALL
+UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT o_custkey) FROM orders""")
+def distinct_rollup(t: Tables) -> DataFrame:
+    """Distinct customers by day and state, by month and state, by year, and of all, from one stored table of bitmaps."""
+    orders = _day(t)
+    stored = stage(rollups.distinct_bitmaps(orders, ["day", "o_orderstatus"], "o_custkey",
+                                            rollups.numbered_ids(orders, "o_custkey")), "customer-bitmaps")
+    months = stored.withColumn("period", F.date_format("day", "yyyy-MM"))
+    years = stored.withColumn("period", F.date_format("day", "yyyy"))
+    none = F.lit(None).cast("string")
+    levels = [
+        rollups.distinct_counts(stored, ["day", "o_orderstatus"], "customers").withColumn("period", F.col("day").cast("string"))
+        .withColumn("level", F.lit("day")),
+        rollups.distinct_counts(months, ["period", "o_orderstatus"], "customers").withColumn("level", F.lit("month")),
+        rollups.distinct_counts(years, ["period"], "customers").withColumns({"level": F.lit("year"), "o_orderstatus": none}),
+        rollups.distinct_counts(stored, [], "customers").withColumns({"level": F.lit("all"), "period": none, "o_orderstatus": none}),
+    ]
+    parts = [p.select("level", "period", "o_orderstatus", "customers") for p in levels]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+SKETCHED = ("l_extendedprice", "l_quantity", "l_discount")
+SKETCH_CUTS = ("1998-01-01", "2000-01-01")
+
+
+@query(" UNION ALL ".join(f"""
+SELECT '{c}' AS feature, count(*) FILTER (l_shipdate < TIMESTAMP '{SKETCH_CUTS[0]}') AS ref_rows,
+       count(*) FILTER (l_shipdate >= TIMESTAMP '{SKETCH_CUTS[1]}') AS cur_rows, true AS within FROM lineitem""" for c in SKETCHED))
+def sketched_drift(t: Tables) -> DataFrame:
+    """Drift between two spans of days from stored sketches, and whether it is within their error of the exact one."""
+    lines = t.raw("lineitem").withColumn("day", F.to_date("l_shipdate"))
+    stored = stage(sketches.day_sketches(lines, F.trunc("day", "month"), SKETCHED), "sketches")
+    low, high = (F.lit(c).cast("date") for c in SKETCH_CUTS)
+    before, after = F.col("day") < low, F.col("day") >= high
+    psi = sketches.sketched_psi(stored, before, after)
+    sizes = [sketches.merged(stored.filter(side)).select("feature", F.col("rows").alias(name))
+             for side, name in ((before, "ref_rows"), (after, "cur_rows"))]
+    exact = drift.drift_psi(lines.filter(F.col("day") < low), lines.filter(F.col("day") >= high), SKETCHED)
+    pair = psi.select("feature", "psi").join(F.broadcast(exact.withColumnRenamed("psi", "exact")), "feature")
+    return pair.join(sizes[0], "feature").join(sizes[1], "feature").select(
+        "feature", "ref_rows", "cur_rows", (F.abs(F.col("psi") - F.col("exact")) < 0.01).alias("within"))

@@ -16,6 +16,22 @@ from loyaltide.operators import orders as order_ops
 from loyaltide.plans.pipelines import transform_pipeline, user_features
 from loyaltide.plans.staging import scratch_path
 
+# Every column of the order table and of the feature store, and those of them that are numbers.
+WIDE_COLUMNS = (
+    "order_id", "order_status", "order_purchase_timestamp", "order_estimated_delivery_date", "order_delivered_customer_date",
+    "customer_unique_id", "customer_state", "total_payment_value", "num_payment_types", "avg_installments",
+    "primary_payment_type", "num_items", "total_price", "total_freight", "avg_item_price", "num_products", "num_sellers",
+    "review_score", "categories", "num_categories")
+WIDE_NUMERIC = tuple(c for c in WIDE_COLUMNS if c not in (
+    "order_status", "customer_state", "primary_payment_type", "categories") and not c.endswith(("_timestamp", "_date")))
+FEATURE_COLUMNS = (
+    "customer_unique_id", "recency_days", "frequency", "monetary", "avg_order_value", "avg_review_score", "std_review_score",
+    "min_review_score", "avg_payment_types", "avg_installments", "primary_payment_type", "total_freight", "avg_freight_ratio",
+    "weekend_purchase_ratio", "avg_purchase_hour", "avg_categories_per_order", "total_category_count", "avg_delivery_delay",
+    "max_delivery_delay", "avg_items_per_order", "total_items_purchased", "customer_state", "spend_trend", "churn_label",
+    "high_value_customer", "is_repeat_buyer")
+FEATURE_NUMERIC = tuple(c for c in FEATURE_COLUMNS if c not in ("primary_payment_type", "customer_state", "churn_label"))
+
 # Order states of the given data that stand for a sale, and for a delivered order.
 SOLD = ("F", "O")
 DELIVERED = "F"

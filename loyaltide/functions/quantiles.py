@@ -5,7 +5,7 @@ Two methods share one result, ``(feature, quantiles array<double>)``:
 * ``accuracy=None`` is exact at any size. A first pass brackets each quantile
   with a small sketch. A second pass counts the values inside the brackets, a
   fixed small share of the rows, and stores these counts. They are dealt over
-  buckets, and a task ranks one bucket: about a thousandth of a bracket.
+  buckets, up to a thousand to a bracket by their number, and a task ranks one.
 * ``accuracy=n`` reads the data once and answers from the sketch alone, with a
   rank error of at most ``rows / n``.
 
@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loyaltide.functions.columns import finite_double, total
+from loyaltide.functions.columns import finite_double, quoted, total
 from loyaltide.plans.staging import stage
 
 BRACKET_ACCURACY = 5_000
-RANK_BUCKETS = 1024  # a power of two: parts of a bracket, of which only those with a wanted rank are ranked
+RANK_BUCKETS = 1024  # a power of two: parts of a bracket, at most, of which only those with a wanted rank are ranked
+BUCKET_VALUES = 1 << 16  # different values of a bracket for which it is cut in one more part
 
 
 def column_quantiles(
@@ -52,9 +53,9 @@ def _quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[fl
     types = dict(df.dtypes)
     values = df.select(*[F.struct(
         finite_double(c).alias("number"),
-        (F.col(c) if types.get(c) == "bigint" else F.lit(None).cast("bigint")).alias("whole")).alias(c) for c in columns])
+        (quoted(c) if types.get(c) == "bigint" else F.lit(None).cast("bigint")).alias("whole")).alias(c) for c in columns])
     if accuracy is not None:
-        found = values.unpivot([], list(columns), "feature", "value").groupBy("feature").agg(
+        found = values.unpivot([], [quoted(c) for c in columns], "feature", "value").groupBy("feature").agg(
             F.percentile_approx("value.number", list(probabilities), accuracy).alias("quantiles"))
         return _for_each(columns, found.withColumn("quantiles", F.transform("quantiles", lambda q: F.struct(
             q.alias("number"), q.cast("bigint").alias("whole")))))
@@ -86,7 +87,7 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     around = [max(p - margin, 0.0) for p in ps] + [min(p + margin, 1.0) for p in ps]
     k = len(ps)
 
-    long = values.unpivot([], columns, "feature", "value").filter(F.col("value.number").isNotNull())
+    long = values.unpivot([], [quoted(c) for c in columns], "feature", "value").filter(F.col("value.number").isNotNull())
 
     # One row per column: bounds around each quantile.
     # Grouping by column gives every column's sketches a task of their own to merge.
@@ -110,10 +111,17 @@ def _exact_quantiles(values: DataFrame, columns: list[str], probabilities: list[
     # only buckets that hold a rank asked for are ranked: no task ranks a slot.
     # The groups without a value lie in a slot's first bucket, before its values.
     # Edges and spans have at most RANK_BUCKETS entries per column and slot.
-    edges = counts.filter(F.col("candidate").isNotNull()).groupBy("feature", "slot").agg(F.percentile_approx(
-        "candidate.number", [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)], BRACKET_ACCURACY).alias("edges"))
-    placed = with_bucket(counts.join(F.broadcast(edges), ["feature", "slot"], "left"),
-                         F.col("candidate.number"), RANK_BUCKETS).drop("edges")
+    # Their number sets the work, not the result: a few values are ranked as they are.
+    most = counts.groupBy("feature", "slot").count().agg(F.max("count")).first()[0] or 0
+    buckets = 1
+    while buckets < RANK_BUCKETS and most > buckets * BUCKET_VALUES:
+        buckets *= 2
+    placed = counts.withColumn("bucket", F.lit(0))
+    if buckets > 1:
+        edges = counts.filter(F.col("candidate").isNotNull()).groupBy("feature", "slot").agg(F.percentile_approx(
+            "candidate.number", [i / buckets for i in range(1, buckets)], BRACKET_ACCURACY).alias("edges"))
+        placed = with_bucket(counts.join(F.broadcast(edges), ["feature", "slot"], "left"),
+                             F.col("candidate.number"), buckets).drop("edges")
     before = Window.partitionBy("feature").orderBy("slot", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     n = F.sum("inside").over(Window.partitionBy("feature"))
     ranks = F.array(*[

@@ -49,12 +49,15 @@ def classifier(kind: str, weight_col: str | None = None):
 
 
 def preprocessing(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-                  scaled: bool = False) -> list:
-    """Median imputation, one-hot encoding by frequency and assembly; scaling by deviation if asked for."""
+                  scaled: bool = False, median_error: float = 0.001) -> list:
+    """Median imputation, one-hot encoding by frequency and assembly; scaling by deviation if asked for.
+
+    ``median_error`` is the share of rows by which a median's rank may be off; 0 is exact.
+    """
     imputed = [f"{c}_imputed" for c in numeric]
     indexed = [f"{c}_idx" for c in categorical]
     encoded = [f"{c}_ohe" for c in indexed]
-    stages = [Imputer(strategy="median", inputCols=list(numeric), outputCols=imputed)]
+    stages = [Imputer(strategy="median", inputCols=list(numeric), outputCols=imputed, relativeError=median_error)]
     if categorical:
         stages += [
             StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",

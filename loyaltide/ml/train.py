@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyaltide.functions.columns import as_list, safe_ratio
+from loyaltide.ml.areas import areas
 from loyaltide.ml.pipeline import LABEL, SEED, build_pipeline, param_grid, save_model
 from loyaltide.operators.profile import class_weights, confusion_matrix, sample_weights
+from loyaltide.plans.staging import stage
 
 # Split and cross-validation.
 TRAIN_SHARE = 0.8
@@ -23,11 +26,20 @@ PARALLEL_FITS = 2
 def with_split(df: DataFrame, key: str | Sequence[str] = "customer_unique_id", share: float = TRAIN_SHARE,
                seed: int = SEED) -> DataFrame:
     """Adds ``split``, train or test by a hash of the key: the same however the rows are partitioned."""
-    digest = F.md5(F.concat_ws("|", *as_list(key), F.lit(seed)))
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
+    bucket = _drawn(key, seed) % 10_000
     return df.withColumn("split", F.when(bucket < round(share * 10_000), "train").otherwise("test"))
 
 
+def _drawn(key: str | Sequence[str], seed: int | str) -> Column:
+    digest = F.md5(F.concat_ws("|", *as_list(key), F.lit(seed)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
+def with_fold(df: DataFrame, key: str | Sequence[str] = "customer_unique_id", folds: int = FOLDS, seed: int = SEED) -> DataFrame:
+    """Adds ``fold``, 0 to folds - 1, by a hash of the key: a key's rows share one, at every run and partitioning."""
+    return df.withColumn("fold", (_drawn(key, f"fold {seed}") % folds).cast("int"))
+
+
 def train_test_split(df: DataFrame, key: str | Sequence[str] = "customer_unique_id",
                      share: float = TRAIN_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     marked = with_split(df, key, share, seed)
@@ -41,27 +53,49 @@ def random_split(df: DataFrame, share: float = TRAIN_SHARE, seed: int = SEED) ->
 
 
 def fit(train: DataFrame, kind: str = "gbt", cross_validate: bool = False, folds: int = FOLDS,
-        weighted: bool = False, **columns) -> PipelineModel:
+        weighted: bool = False, key: str | Sequence[str] = "customer_unique_id", **columns) -> PipelineModel:
     """Fit a pipeline, over the parameter grid by area under ROC if ``cross_validate``.
 
     The rows are cached for the passes of the fit and released after it.
     """
+    if cross_validate:
+        return search(train, kind, folds, weighted, key, **columns)[0]
     if weighted:
         train = sample_weights(train, class_weights(train))
-    pipeline = build_pipeline(kind, weight_col="sample_weight" if weighted else None, **columns)
     train = train.persist()
     try:
-        if not cross_validate:
-            return pipeline.fit(train)
-        search = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=param_grid(pipeline.getStages()[-1], kind),
-            evaluator=BinaryClassificationEvaluator(labelCol=LABEL), numFolds=folds, seed=SEED,
-            parallelism=PARALLEL_FITS)
-        return search.fit(train).bestModel
+        return build_pipeline(kind, weight_col="sample_weight" if weighted else None, **columns).fit(train)
     finally:
         train.unpersist()
 
 
+def search(train: DataFrame, kind: str = "gbt", folds: int = FOLDS, weighted: bool = False,
+           key: str | Sequence[str] = "customer_unique_id", grid: Sequence[dict] | None = None,
+           **columns) -> tuple[PipelineModel, DataFrame]:
+    """Cross-validation by key over a parameter grid: the best model, fitted to all rows, and the table of the grid.
+
+    The table has a row per grid point: ``parameters`` (a map), the mean and
+    deviation of the area under ROC over the folds, and whether it is the best.
+    """
+    if weighted:
+        train = sample_weights(train, class_weights(train))
+    pipeline = build_pipeline(kind, weight_col="sample_weight" if weighted else None, **columns)
+    points = list(grid) if grid is not None else param_grid(pipeline.getStages()[-1], kind)
+    train = with_fold(train, key, folds).persist()
+    try:
+        found = CrossValidator(
+            estimator=pipeline, estimatorParamMaps=points, numFolds=folds, foldCol="fold", parallelism=PARALLEL_FITS,
+            evaluator=BinaryClassificationEvaluator(labelCol=LABEL, numBins=0)).fit(train)
+    finally:
+        train.unpersist()
+    best = max(found.avgMetrics)
+    rows = [({p.name: float(v) for p, v in point.items()}, float(mean), float(deviation), bool(mean == best))
+            for point, mean, deviation in zip(points, found.avgMetrics, found.stdMetrics)]
+    table = train.sparkSession.createDataFrame(
+        rows, "parameters map<string,double>, mean_auc_roc double, std_auc_roc double, best boolean")
+    return found.bestModel, table
+
+
 def count_metrics(confusion: DataFrame, label_col: str = LABEL, prediction_col: str = "prediction") -> DataFrame:
     """Accuracy, F1, and precision and recall weighted by class size, from confusion counts."""
     label, predicted = F.col(label_col).cast("double"), F.col(prediction_col).cast("double")
@@ -85,17 +119,12 @@ def count_metrics(confusion: DataFrame, label_col: str = LABEL, prediction_col:
 
 def evaluate(predictions: DataFrame) -> DataFrame:
     """One row with area under ROC and PR, accuracy, F1, weighted precision and recall."""
-    predictions = predictions.select(LABEL, "rawPrediction", "prediction").persist()
-    try:
-        areas = {
-            name: BinaryClassificationEvaluator(labelCol=LABEL, metricName=metric).evaluate(predictions)
-            for name, metric in (("auc_roc", "areaUnderROC"), ("auc_pr", "areaUnderPR"))
-        }
-        counts = count_metrics(confusion_matrix(predictions)).first().asDict()
-    finally:
-        predictions.unpersist()
-    measures = {name: round(value, 4) for name, value in {**areas, **counts}.items()}
-    return predictions.sparkSession.range(1).select(*[F.lit(v).alias(n) for n, v in measures.items()])
+    score = vector_to_array("rawPrediction")[1]
+    predictions = stage(predictions.select(LABEL, score.alias("score"), "prediction"), "predictions")
+    counts = count_metrics(confusion_matrix(predictions))
+    found = areas(predictions, "score", LABEL).withColumn("counts", counts.agg(F.first(F.struct(*counts.columns))).scalar())
+    measures = ["auc_roc", "auc_pr", *[f"counts.{c}" for c in counts.columns]]
+    return found.select(*[F.round(c, 4).alias(c.split(".")[-1]) for c in measures])
 
 
 def run_training(features: DataFrame, kind: str = "gbt", cross_validate: bool = False, weighted: bool = False,
@@ -103,7 +132,7 @@ def run_training(features: DataFrame, kind: str = "gbt", cross_validate: bool =
                  save_to: str | None = None) -> tuple[PipelineModel, DataFrame]:
     """Split labelled rows, fit, evaluate on the held-out part and save. Gives the model and its metrics."""
     train, test = train_test_split(features.filter(F.col(LABEL).isNotNull()), key)
-    model = fit(train, kind, cross_validate, weighted=weighted)
+    model = fit(train, kind, cross_validate, weighted=weighted, key=key)
     metrics = evaluate(model.transform(test)).withColumn("classifier", F.lit(kind))
     if save_to:
         save_model(model, save_to)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loyaltide.functions.columns import as_list, numeric_columns, string_columns, total
+from loyaltide.functions.columns import as_list, numeric_columns, quoted, string_columns, total
 from loyaltide.functions.quantiles import column_quantiles, with_bucket
 from loyaltide.plans.staging import stage
 
@@ -109,16 +109,22 @@ def drift_quantile_gap(reference: DataFrame, current: DataFrame, columns: Sequen
                        accuracy: int | None = None) -> DataFrame:
     """Largest distance of the 5% .. 95% quantiles, in units of the reference's quantile range."""
     points = [i / 100 for i in range(5, 100, 5)]
-    sides = [
-        column_quantiles(df, columns, points, accuracy).withColumnRenamed("quantiles", name)
-        for df, name in ((reference, "ref"), (current, "cur"))
-    ]
+    # Every column twice, with the other side's rows null: both sides are read, counted and ranked together.
+    names = {side: [f"{side}:{c}" for c in columns] for side in ("ref", "cur")}
+    both = None
+    for side, df in (("ref", reference), ("cur", current)):
+        own = [quoted(c).cast("double") for c in columns]
+        none = [F.lit(None).cast("double")] * len(columns)
+        rows = df.select(*[v.alias(n) for v, n in zip(own if side == "ref" else none, names["ref"])],
+                         *[v.alias(n) for v, n in zip(own if side == "cur" else none, names["cur"])])
+        both = rows if both is None else both.unionByName(rows)
+    found = column_quantiles(both, [*names["ref"], *names["cur"]], points, accuracy)
+    sides = found.groupBy(F.substring("feature", 5, 1 << 30).alias("feature")).agg(
+        *[F.max(F.when(F.col("feature").startswith(f"{s}:"), F.col("quantiles"))).alias(s) for s in ("ref", "cur")])
     spread = F.array_max("ref") - F.array_min("ref")
     gaps = F.zip_with("ref", "cur", lambda r, c: F.abs(c - r))
     gap = F.array_max(gaps) / F.when(spread != 0, spread).otherwise(1.0)
-    # One row per column on both sides.
-    return sides[0].join(F.broadcast(sides[1]), "feature").select(
-        "feature", F.round(F.coalesce(gap, F.lit(0.0)), 6).alias("quantile_gap"))
+    return sides.select("feature", F.round(F.coalesce(gap, F.lit(0.0)), 6).alias("quantile_gap"))
 
 
 def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -22,6 +22,7 @@ def reference_time(df: DataFrame, reference_date: str | None = None) -> Column:
     return df.agg(F.max(PURCHASED)).scalar()
 
 
+# Fixed values, in this function and the next: names of the features and the columns they are made of.
 def _rfm_columns(now: Column, orders: Column) -> list[Column]:
     return [
         F.datediff(now, F.max(PURCHASED)).alias("recency_days"),

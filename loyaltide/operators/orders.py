@@ -13,6 +13,7 @@ from loyaltide.functions.columns import rows_where, safe_ratio
 SOLD_STATUSES = ("delivered", "shipped", "invoiced", "processing")
 
 
+# Fixed values, in the functions below: names of the output columns.
 def payments_per_order(payments: DataFrame) -> DataFrame:
     """Paid total, payment types, mean installments and the type of the first payment.
 
@@ -36,17 +37,25 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 def items_per_order(items: DataFrame) -> DataFrame:
     """Item count, value, freight and number of distinct products and sellers.
 
-    The distinct counts stay two-phase, so an order with very many items is
-    counted by all tasks rather than held as a set in one.
+    Items are first combined per order and product, and per order and seller:
+    two distinct counts in one aggregate would triple the rows before the
+    shuffle. An order with very many items is counted by all tasks.
     """
-    return items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("num_items"),
+    per_product = items.groupBy("order_id", "product_id").agg(
+        F.count("order_item_id").alias("items"), F.sum("price").alias("price"), F.count("price").alias("priced"),
+        F.sum("freight_value").alias("freight"))
+    products = per_product.groupBy("order_id").agg(
+        F.sum("items").alias("num_items"),
         F.sum("price").alias("total_price"),
-        F.sum("freight_value").alias("total_freight"),
-        F.avg("price").alias("avg_item_price"),
-        F.count_distinct("product_id").alias("num_products"),
-        F.count_distinct("seller_id").alias("num_sellers"),
+        F.sum("freight").alias("total_freight"),
+        safe_ratio(F.sum("price"), F.sum("priced")).alias("avg_item_price"),
+        F.count("product_id").alias("num_products"),
     )
+    sellers = items.select("order_id", "seller_id").distinct().groupBy("order_id").agg(F.count("seller_id").alias("num_sellers"))
+    # Null ids group together on both sides.
+    return products.join(sellers.withColumnRenamed("order_id", "_order"), F.col("order_id").eqNullSafe(F.col("_order"))) \
+        .drop("_order").select("order_id", "num_items", "total_price", "total_freight", "avg_item_price", "num_products",
+                               "num_sellers")
 
 
 def best_review(reviews: DataFrame) -> DataFrame:

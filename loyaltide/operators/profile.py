@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
@@ -22,6 +23,7 @@ MB = 1024 * 1024
 
 IMBALANCE_WARNING = 5
 TOP_PAIRS = 20
+WIDE = 32  # columns up to which every pair is an aggregate of its own
 
 
 def schema_conformance(df: DataFrame, expected: StructType) -> DataFrame:
@@ -86,9 +88,9 @@ def class_balance(df: DataFrame, label_col: str = "churn_label") -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """Min, max, mean, deviation, quartiles and nulls per numeric column, one row each."""
+    """Min, max, mean, deviation, quartiles and nulls per numeric column, one row each; NaN counts as null."""
     columns = list(columns or numeric_columns(df))
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = df.select(*[finite_double(c) for c in columns])
     basics = values.agg(*[
         F.struct(
             F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev(c).alias("std"),
@@ -127,18 +129,41 @@ def label_feature_means(df: DataFrame, label_col: str = "churn_label",
 def correlation_pairs(df: DataFrame, columns: Sequence[str], top_n: int | None = TOP_PAIRS) -> DataFrame:
     """Pearson correlation of column pairs, strongest first, over rows without nulls.
 
-    All pairs are aggregated in one pass.
+    All pairs are aggregated in one pass: as single aggregates up to ``WIDE``
+    columns, whose plan grows with the pairs; beyond, as one matrix of vector
+    products, which tasks add up in blocks of their rows. What reaches the
+    driver then has a number for every pair of columns.
     """
-    complete = df.select(*[finite_double(c) for c in columns]).dropna()
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    measured = complete.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    plain = [f"c{i}" for i in range(len(columns))]
+    complete = df.select(*[finite_double(c) for c in columns]).toDF(*plain).dropna()
+    if len(columns) > WIDE:
+        return _wide_pairs(complete, list(columns), top_n)
+    pairs = [(a, b) for a in range(len(columns)) for b in range(a + 1, len(columns))]
+    # A constant column has no correlation; the function of that name divides by its zero deviation.
+    measured = complete.agg(*[
+        (F.covar_pop(plain[a], plain[b]) / F.nullif(F.stddev_pop(plain[a]) * F.stddev_pop(plain[b]), F.lit(0.0))).alias(f"p{i}")
+        for i, (a, b) in enumerate(pairs)])
     table = measured.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"`{a}|{b}`").alias("corr"))
-        for a, b in pairs
+        F.struct(F.lit(columns[a]).alias("feature_a"), F.lit(columns[b]).alias("feature_b"), F.col(f"p{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)
     ]))).orderBy(F.abs("corr").desc_nulls_last(), "feature_a", "feature_b")
     return table if top_n is None else table.limit(top_n)
 
 
+def _wide_pairs(complete: DataFrame, columns: list[str], top_n: int | None) -> DataFrame:
+    spark, schema = complete.sparkSession, "feature_a string, feature_b string, corr double"
+    if complete.isEmpty():
+        return spark.createDataFrame([], schema)
+    matrix = correlation_matrix(complete, complete.columns).first()[0].toArray()
+    a, b = np.triu_indices(len(columns), 1)
+    corr = matrix[a, b]
+    # Strongest first, those without a value last, then by name: as the pairs of a narrow table.
+    names = np.array(columns)
+    order = np.lexsort((names[b], names[a], -np.nan_to_num(np.abs(corr), nan=-1.0)))[:top_n]
+    rows = [(columns[a[i]], columns[b[i]], None if np.isnan(corr[i]) else float(corr[i])) for i in order]
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The full matrix as one vector-valued cell, for many columns (one pass over assembled vectors)."""
     vectors = VectorAssembler(inputCols=list(columns), outputCol="vector", handleInvalid="skip").transform(df)

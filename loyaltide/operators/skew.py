@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.functions.columns import as_list
+from loyaltide.functions.columns import as_list, quoted
 from loyaltide.operators.profile import BROADCAST_LIMIT_MB
+from loyaltide.plans.staging import stage
 
 # Largest to mean rows per key from which a key counts as skewed or critical.
 SKEWED = 3.0
 CRITICAL = 5.0
 BUCKETS = 10
+PIECES = 8  # of a hot key, for each mean task that its rows would fill
 
 
 def _severity(ratio: Column) -> Column:
@@ -84,35 +87,59 @@ def salted_aggregate(df: DataFrame, key: str, value: str, buckets: int = BUCKETS
 
 
 def hot_keys(df: DataFrame, key: str | Sequence[str], min_share: float = 0.001) -> DataFrame:
-    """Keys that hold at least ``min_share`` of the rows, so ``1 / min_share`` keys at most."""
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(*as_list(key)).agg(F.count(F.lit(1)).alias("_rows")).filter(
-        F.col("_rows") >= F.lit(min_share) * rows).drop("_rows")
+    """Keys that hold at least ``min_share`` of the rows, so ``1 / min_share`` keys at most, with ``_rows``.
+
+    A mergeable summary of frequent items, of fixed size, names every key that
+    may be one; only these are counted, and with map-side sums. Its bound: a key
+    with more than 7 rows in as many as the summary has counters is never missed.
+    """
+    keys = as_list(key)
+    tracked = 1 << math.ceil(math.log2(8 / min_share))
+    hashed = F.xxhash64(*map(quoted, keys))
+    named = df.select(hashed.alias("_hash")).agg(
+        F.struct(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(_hash, {tracked // 2}, {tracked})").alias("top")).alias("s"))
+    # A row of fixed size; its items are the candidates.
+    found = stage(named.select("s.rows", F.col("s.top.item").alias("items")), "frequent-keys")
+    candidates = found.select(F.explode("items").alias("_hash"))
+    counted = df.select(*map(quoted, keys), hashed.alias("_hash")).join(F.broadcast(candidates), "_hash", "left_semi") \
+        .groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") >= F.lit(min_share) * found.agg(F.max("rows")).scalar())
+
+
+def salts_needed(rows: Column, all_rows: Column, partitions: int) -> Column:
+    """Pieces for a key: each is an eighth of a mean task, so that a task's pieces seldom add up to much more."""
+    return F.greatest(F.ceil(rows * F.lit(PIECES * partitions) / all_rows), F.lit(1)).cast("int")
 
 
-def salted_join(large: DataFrame, small: DataFrame, key: str, how: str = "inner", buckets: int = BUCKETS,
+def salted_join(large: DataFrame, small: DataFrame, key: str, how: str = "inner", buckets: int | None = None,
                 row_key: Sequence[str] | None = None, min_share: float = 0.001) -> DataFrame:
-    """Equi-join that spreads the hot keys of ``large`` over ``buckets`` tasks each.
+    """Equi-join that spreads the hot keys of ``large``, each over as many tasks as its share of the rows needs.
 
     Only hot keys are salted, and only their rows of ``small`` are repeated per
-    bucket; all other rows move as in a plain join. The hot keys number at most
-    ``1 / min_share``, which bounds what is broadcast. A right or full join
-    would repeat the unmatched rows of ``small``, so those are refused.
+    piece; all other rows move as in a plain join. The hot keys number at most
+    ``1 / min_share``, which bounds what is broadcast, and their pieces at most
+    that and eight times the shuffle partitions; ``buckets`` sets one number of
+    pieces for all. A right or full join would repeat the unmatched rows of
+    ``small``, so those are refused.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
-    hot = hot_keys(large.filter(F.col(key).isNotNull()), key, min_share).withColumn("_hot", F.lit(True))
+    known = large.filter(quoted(key).isNotNull())
+    partitions = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = stage(hot_keys(known, key, min_share), "hot-keys")
+    all_rows = large.agg(F.count(F.lit(1))).scalar()
+    pieces = F.lit(buckets) if buckets else salts_needed(F.col("_rows"), all_rows, partitions)
+    hot = found.select(quoted(key), pieces.alias("_pieces"))
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(hot), key, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+        return df.join(F.broadcast(hot), key, "left")
 
     # Null keys match nothing, so their rows may lie anywhere.
-    salted = marked(large).withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt_of(row_key or large.columns, buckets)).otherwise(0))
-    every_bucket = F.sequence(F.lit(0), F.lit(buckets - 1))
+    spread = F.when(quoted(key).isNull(), PIECES * partitions).otherwise(F.coalesce("_pieces", F.lit(1)))
+    salted = marked(large).withColumn("_salt", F.pmod(F.xxhash64(*(row_key or large.columns)), spread).cast("int"))
     repeated = marked(small).withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every_bucket).otherwise(F.array(F.lit(0)))))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
+    return salted.drop("_pieces").join(repeated.drop("_pieces"), [key, "_salt"], how).drop("_salt")
 
 
 def broadcast_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",

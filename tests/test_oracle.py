@@ -6,7 +6,6 @@ from bindings import load
 from bindings.check import mismatch
 
 QUERIES, ORACLES = load()
-SLOW = {"train_cv"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -15,6 +14,6 @@ def test_matches_sql(name, spark, duck, folder):
     assert problem is None, problem
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys() - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
 def test_gives_rows(name, spark, folder):
     assert QUERIES[name](spark, folder).count() > 0

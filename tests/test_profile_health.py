@@ -70,3 +70,28 @@ def test_lineage_after_an_empty_stage(spark):
     got = health.row_lineage({"a": spark.range(10), "b": spark.range(5), "c": spark.range(0), "d": spark.range(3)})
     assert [(r.stage, r.change_pct) for r in got.orderBy("step").collect()] == [
         ("a", None), ("b", -50.0), ("c", -100.0), ("d", 0.0)]
+
+
+def test_wide_tables_are_correlated_as_narrow_ones(spark, monkeypatch):
+    df = spark.range(300).select(*[(F.rand(i) + (F.col("id") / 300 if i % 3 else F.lit(0))).alias(f"c{i:02d}") for i in range(12)],
+                                 F.lit(1.0).alias("flat"), F.when(F.col("id") != 7, 2.0 * F.col("id")).alias("a.b"))
+    narrow = profile.correlation_pairs(df, df.columns, None).collect()
+    monkeypatch.setattr(profile, "WIDE", 3)
+    wide = profile.correlation_pairs(df, df.columns, None).collect()
+    assert [(r.feature_a, r.feature_b) for r in wide] == [(r.feature_a, r.feature_b) for r in narrow]
+    for a, b in zip(narrow, wide):
+        assert (a.corr is None) == (b.corr is None) and (a.corr is None or abs(a.corr - b.corr) < 1e-9)
+    assert [tuple(r)[:2] for r in profile.correlation_pairs(df, df.columns, 5).collect()] == [tuple(r)[:2] for r in wide[:5]]
+    assert profile.correlation_pairs(df.limit(0), df.columns).count() == 0
+
+
+def test_a_thousand_columns(spark):
+    df = spark.range(60).select(*[F.rand(i).alias(f"c{i}") for i in range(999)], (F.rand(5) * 2 + 1).alias("twin"))
+    best = profile.correlation_pairs(df, df.columns, 3).first()
+    assert (best.feature_a, best.feature_b) == ("c5", "twin") and abs(best.corr - 1) < 1e-9
+
+
+def test_nan_is_a_null_in_every_figure(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    row = profile.numeric_summary(df, ["x"]).first()
+    assert (row["min"], row["max"], row["mean"], row.p50, row.nulls) == (1.0, 2.0, 1.5, 1.0, 2)

@@ -76,3 +76,32 @@ def test_null_keys_are_spread_in_a_left_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", before[0])
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[1])
     assert sum(per_task) == 30_000 and max(per_task) < 2 * 30_000 / len(per_task)
+
+
+def test_pieces_follow_a_keys_share(spark):
+    """With keys of 30, 10 and 3 percent no task gets more than twice the mean."""
+    n = 40_000
+    key = F.when(F.col("id") % 100 < 30, 0).when(F.col("id") % 100 < 40, 1).when(F.col("id") % 100 < 43, 2).otherwise(F.col("id") + 10)
+    large = spark.range(n).select("id", key.alias("k"))
+    small = spark.createDataFrame([(i, f"v{i}") for i in range(3)], "k long, v string")
+    counts = {r.k: r._rows for r in skew.hot_keys(large, "k", 0.01).collect()}
+    assert counts == {0: 12_000, 1: 4_000, 2: 1_200}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.adaptive.enabled")}
+    for k, v in zip(before, ("16", "-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        joined = skew.salted_join(large, small, "k", "left", row_key=["id"], min_share=0.01)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plain = large.join(small, "k", "left").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == n and max(sizes) <= 2 * n / 16 < plain
+
+
+def test_no_count_of_all_keys_before_the_join(spark, plan):
+    large = spark.range(1_000).select("id", (F.col("id") % 7).alias("k"))
+    text = plan(skew.hot_keys(large, "k", 0.1)).split("== Physical Plan ==")[-1]
+    shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning(k" in line]
+    assert len(shuffled) == 1 and "LeftSemi" in text  # of the named keys alone

@@ -18,8 +18,10 @@ small corpus one text proves nothing.
 
 Counts are exact, in whole texts, and need no pair of a word with an entity
 that it cannot give away: that is known from how often each of them occurs.
-Entities that occur in the same texts are counted as one. Bitmaps of fixed size
-sort out most words in the scan, a join makes it exact.
+Entities that occur in the same texts are counted as one, and so are words: what
+is joined within a text are its groups of either, so a directory of many
+addresses and names costs no product of them unless each has texts of its own.
+Bitmaps of fixed size sort out most words in the scan, a join makes it exact.
 
 Defined cases: null text counts as empty and has no spans; rows with equal ids
 are rows of their own; copies of one text count once, and each is marked; an
@@ -38,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyaltide.llm.common import ROW, mapped, numbered, plain_columns, quoted, small_batches, text_of
+from loyaltide.llm.common import ROW, joined_back, mapped, numbered, plain_columns, quoted, small_batches, text_of
 from loyaltide.plans.staging import stage
 
 KINDS = ("email", "ip", "card", "phone", "word")
@@ -229,15 +231,20 @@ def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", general
     crowds = crowds.where(F.col("alone") < total).withColumn("most", most - 1 + 1e-6)
     in_text = stage(held.join(crowds, "entity").select("copy", "crowd", "alone", "most").distinct(), "crowds")
     limit = in_text.agg(F.max("most")).first()[0] or 0.0
-    rare = words.join(counted.where(F.col("documents") <= limit), "word")
-    near = stage(rare.join(in_text, "copy").where("documents <= most").drop("most"), "near")
-    both = near.groupBy("crowd", "word").agg(F.count(F.lit(1)).alias("both"), F.first("alone").alias("alone"),
-                                             F.first("documents").alias("documents"))
+    # Words that stand in the same texts with finds, and in as many texts in all, tell alike: they are one bunch.
+    found = stage(words.join(counted.where(F.col("documents") <= limit), "word"), "rare")
+    alike = F.concat_ws(" ", F.first("documents"), F.count(F.lit(1)), *sums)
+    rare = stage(found.join(found.groupBy("word").agg(alike.alias("bunch")), "word"), "bunches")
+    near = stage(rare.select("copy", "bunch", "documents").distinct().join(in_text, "copy").where("documents <= most")
+                 .drop("most"), "near")
+    both = near.groupBy("crowd", "bunch").agg(F.count(F.lit(1)).alias("both"), F.first("alone").alias("alone"),
+                                              F.first("documents").alias("documents"))
     mutual = F.log(F.lit(total + 2) * (F.col("both") + 0.5) / ((F.col("alone") + 1) * (F.col("documents") + 1)))
     shares = both.withColumn("disclosure", mutual / F.log(F.lit(total) / F.col("alone"))) \
-        .where(F.col("disclosure") >= generalise).select("crowd", "word", "disclosure")
-    return near.select("copy", "crowd", "word").join(shares, ["crowd", "word"]) \
-        .groupBy("copy", "word").agg(F.max("disclosure").alias("disclosure"))
+        .where(F.col("disclosure") >= generalise).select("crowd", "bunch", "disclosure")
+    told = near.select("copy", "crowd", "bunch").join(shares, ["crowd", "bunch"]) \
+        .groupBy("copy", "bunch").agg(F.max("disclosure").alias("disclosure"))
+    return rare.select("copy", "bunch", "word").join(told, ["copy", "bunch"]).select("copy", "word", "disclosure")
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -258,7 +265,10 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **lim
                                for m in matches if m.group().lower() in shares])
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(places, place)], [ROW, "id", "base", "words"])
 
-    held = rows.where(F.size("spans") > 0).join(told, "copy", "left").select(ROW, "id", F.col("spans").alias("base"), "text", "told")
+    held = rows.where(F.size("spans") > 0)
+    copies = held.groupBy("copy").agg(F.count(F.lit(1)).alias("n")).join(told, "copy", "left")
+    # A text that is a large part of all rows meets its words where its rows are.
+    held = joined_back(held, copies, "copy", "n").select(ROW, "id", F.col("spans").alias("base"), "text", "told")
     array = "array<struct<begin:int,kind:int,end:int>>"
     marked = held.mapInArrow(run, f"{ROW} long, id {dict(rows.dtypes)['id']}, base {array}, "
                                   "words array<struct<begin:int,end:int,disclosure:double>>")

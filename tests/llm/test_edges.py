@@ -169,6 +169,19 @@ def test_targets_beyond_the_corpus(frame):
     assert max(Counter(r.doc_id for r in small).values()) == 1
 
 
+def test_a_directory_makes_no_product_of_words_and_addresses(spark, frame):
+    """400 addresses, each in a text of its own too, and 1,500 words that stand together."""
+    addresses = [f"a{i}@mail.example" for i in range(400)]
+    texts = [" ".join([*addresses, *(f"word{i}" for i in range(1_500))]), *(f"only {a}" for a in addresses)]
+    docs = frame(list(enumerate(texts)))
+    with staged_in(spark) as scope:
+        found = pii.spans(docs).collect()
+        near = next(p for p in scope.paths if "/near-" in p)
+        assert spark.read.parquet(near).count() <= 5_000
+    scope.remove()
+    assert len(found) == 401 and sum(len(r.base) for r in found) == 800
+
+
 def test_long_runs_of_digits_take_linear_time():
     start = time.process_time()
     assert pii.finds("1" * 1_000_000) == [] and pii.finds("1." * 500_000) != []

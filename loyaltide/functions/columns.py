@@ -16,10 +16,20 @@ LOWEST_TIER = "SAFE"
 CHURN_DAYS = 180
 
 
+LONG_DIGITS = 18  # decimal digits that a long holds
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    """Columns of whole or floating point numbers; decimals are left out, since a double does not hold their digits."""
+    """Columns of whole or floating point numbers, and decimals of up to 18 digits, which are ranked as longs.
+
+    Longer decimals are left out: neither a double nor a long holds their digits.
+    """
     wanted = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
-    return [f.name for f in df.schema if isinstance(f.dataType, wanted) and f.name not in exclude]
+
+    def numeric(kind: T.DataType) -> bool:
+        return isinstance(kind, wanted) or isinstance(kind, T.DecimalType) and kind.precision <= LONG_DIGITS
+
+    return [f.name for f in df.schema if numeric(f.dataType) and f.name not in exclude]
 
 
 def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:

@@ -20,9 +20,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from loyaltide.functions.columns import finite_double, quoted, total
+from loyaltide.functions.columns import LONG_DIGITS, finite_double, quoted, total
 from loyaltide.plans.staging import stage
 
 BRACKET_ACCURACY = 5_000
@@ -46,14 +47,12 @@ def column_quantiles(
 
 def _quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
                accuracy: int | None) -> DataFrame:
-    """Quantiles as structs: ``number`` is a double, ``whole`` the same value of a long column with all its digits.
+    """Quantiles as structs: ``number`` is a double, ``whole`` the same value of a long column with all its digits, or
+    of a decimal column the digits without the point.
 
-    Structs are ordered field by field, and longs that share a double by ``whole``.
+    Structs are ordered field by field, and values that share a double by ``whole``.
     """
-    types = dict(df.dtypes)
-    values = df.select(*[F.struct(
-        finite_double(c).alias("number"),
-        (quoted(c) if types.get(c) == "bigint" else F.lit(None).cast("bigint")).alias("whole")).alias(c) for c in columns])
+    values = df.select(*[F.struct(finite_double(c).alias("number"), _whole(df, c).alias("whole")).alias(c) for c in columns])
     if accuracy is not None:
         found = values.unpivot([], [quoted(c) for c in columns], "feature", "value").groupBy("feature").agg(
             F.percentile_approx("value.number", list(probabilities), accuracy).alias("quantiles"))
@@ -62,19 +61,40 @@ def _quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[fl
     return _exact_quantiles(values, list(columns), list(probabilities))
 
 
+def _scale(df: DataFrame, name: str) -> int | None:
+    """Digits behind the point of a decimal column that a long holds, 0 for a long, None for any other."""
+    kind = df.schema[name].dataType if name in df.columns else None
+    if isinstance(kind, T.LongType):
+        return 0
+    return kind.scale if isinstance(kind, T.DecimalType) and kind.precision <= LONG_DIGITS else None
+
+
+def _whole(df: DataFrame, name: str) -> Column:
+    scale = _scale(df, name)
+    if scale is None:
+        return F.lit(None).cast("bigint")
+    return quoted(name).cast("bigint") if scale == 0 else (quoted(name) * F.lit(Decimal(10 ** scale))).cast("bigint")
+
+
 def quantile_struct(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
                     accuracy: int | None = None) -> Column:
-    """The same quantiles as one scalar subquery with an array field per column, of longs for a long column.
+    """The same quantiles as one scalar subquery with an array field per column, of longs for a long column and of
+    decimals for a decimal one.
 
     Operators use it to compare every row with a bound without a join. The few
     rows of quantiles are staged, so that a plan which refers to them often, or
     takes quantiles of its own on top, does not repeat the passes behind them.
     """
-    table, types = stage(_quantiles(df, columns, probabilities, accuracy), "quantiles"), dict(df.dtypes)
+    table = stage(_quantiles(df, columns, probabilities, accuracy), "quantiles")
 
     def own(name: str) -> Column:
-        part = "whole" if types.get(name) == "bigint" else "number"
-        return F.transform("quantiles", lambda q: q[part])
+        scale = _scale(df, name)
+        # A sketch's answer is a double; only the exact way knows the digits behind it.
+        if scale is None or accuracy is not None and scale > 0:
+            return F.transform("quantiles", lambda q: q["number"])
+        if scale == 0:
+            return F.transform("quantiles", lambda q: q["whole"])
+        return F.transform("quantiles", lambda q: q["whole"].cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale)))
 
     picked = [F.max(F.when(F.col("feature") == c, own(c))).alias(c) for c in columns]
     return table.agg(F.struct(*picked).alias("bounds")).scalar()

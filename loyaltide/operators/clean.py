@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loyaltide.functions.columns import as_list, numeric_columns, string_columns
+from loyaltide.functions.columns import as_list, numeric_columns, quoted, string_columns
 from loyaltide.functions.quantiles import quantile_struct
 
 # Columns to winsorize and the neutral review score.
@@ -36,11 +36,11 @@ def dedup_latest(df: DataFrame, key: str | Sequence[str] = "order_id",
 def null_fill(df: DataFrame, keys: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
     """Numeric nulls become the column median, review scores 3, strings ``'unknown'``.
 
-    The median of a whole-number column is cut to a whole number; a column
-    without values is filled with 0. Timestamps, arrays and ``keys`` stay.
+    The median of a whole-number column is cut to a whole number, that of a
+    decimal column keeps its digits; a column without values is filled with 0. Timestamps, arrays and ``keys`` stay.
     """
     types = dict(df.dtypes)
-    filled = {c: F.coalesce(F.col(c), F.lit("unknown")) for c in string_columns(df, keys)}
+    filled = {c: F.coalesce(quoted(c), F.lit("unknown")) for c in string_columns(df, keys)}
     numeric = numeric_columns(df, keys)
     if "review_score" in numeric:
         filled["review_score"] = F.coalesce("review_score", F.lit(NEUTRAL_REVIEW).cast(types["review_score"]))
@@ -48,7 +48,7 @@ def null_fill(df: DataFrame, keys: Sequence[str] = (), accuracy: int | None = No
     if by_median:
         medians = quantile_struct(df, by_median, [0.5], accuracy)
         for c in by_median:
-            filled[c] = F.coalesce(F.col(c), medians[c][0].cast(types[c]), F.lit(0).cast(types[c]))
+            filled[c] = F.coalesce(quoted(c), medians[c][0].cast(types[c]), F.lit(0).cast(types[c]))
     return df.withColumns(filled)
 
 
@@ -63,7 +63,7 @@ def winsorize(df: DataFrame, columns: Sequence[str] = WINSORIZED, limits: Sequen
 
     def capped(c):
         low, high = bounds[c][0].cast(types[c]), bounds[c][1].cast(types[c])
-        return F.when(F.col(c) < low, low).when(F.col(c) > high, high).otherwise(F.col(c))
+        return F.when(quoted(c) < low, low).when(quoted(c) > high, high).otherwise(quoted(c))
 
     return df.withColumns({c: capped(c) for c in present})
 

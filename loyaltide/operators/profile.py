@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from loyaltide.functions.columns import finite_double, numeric_columns, rows_where, safe_ratio
+from loyaltide.functions.columns import finite_double, numeric_columns, quoted, rows_where, safe_ratio
 from loyaltide.functions.quantiles import column_quantiles
 
 # Assumed row width, largest table worth broadcasting, wanted partition size.
@@ -93,10 +93,10 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, accurac
     values = df.select(*[finite_double(c) for c in columns])
     basics = values.agg(*[
         F.struct(
-            F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev(c).alias("std"),
-            rows_where(F.col(c).isNull()).alias("nulls"),
+            F.min(quoted(c)).alias("min"), F.max(quoted(c)).alias("max"), F.avg(quoted(c)).alias("mean"),
+            F.stddev(quoted(c)).alias("std"), rows_where(quoted(c).isNull()).alias("nulls"),
         ).alias(c) for c in columns
-    ]).unpivot([], columns, "feature", "s")
+    ]).unpivot([], [quoted(c) for c in columns], "feature", "s")
     quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], accuracy)
     # One row per column on both sides.
     return basics.join(F.broadcast(quartiles), "feature").select(
@@ -123,7 +123,7 @@ def categorical_distribution(df: DataFrame, column: str, top_n: int = 20) -> Dat
 def label_feature_means(df: DataFrame, label_col: str = "churn_label",
                         columns: Sequence[str] | None = None) -> DataFrame:
     columns = columns or numeric_columns(df, [label_col])
-    return df.groupBy(label_col).agg(*[F.avg(c).alias(c) for c in columns]).orderBy(label_col)
+    return df.groupBy(label_col).agg(*[F.avg(quoted(c).cast("double")).alias(c) for c in columns]).orderBy(label_col)
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], top_n: int | None = TOP_PAIRS) -> DataFrame:

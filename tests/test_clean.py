@@ -1,8 +1,9 @@
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from loyaltide.operators import clean
+from loyaltide.operators import clean, drift, profile
 from loyaltide.plans.pipelines import transform_pipeline
 
 DAY = dt.datetime(2024, 1, 1)
@@ -74,3 +75,27 @@ def test_pipeline_does_not_depend_on_partitions(tables, rows):
     one = transform_pipeline(wide.repartition(1)).select(*columns)
     many = transform_pipeline(wide.repartition(13)).select(*columns)
     assert rows(one) == rows(many)
+
+
+def test_decimals_keep_their_digits(spark):
+    """17 digits, which a double would round, and a column with a dot in its name."""
+    values = ["123456789012345.61", "123456789012345.62", "123456789012345.63", None]
+    df = spark.createDataFrame([(Decimal(v) if v else None, None if v else 1.5, v) for v in values],
+                               "`a.b` decimal(18,2), x double, s string")
+    assert [r[0] for r in clean.null_fill(df).collect()] == [Decimal(v or values[1]) for v in values]
+    capped = clean.winsorize(df, ["a.b"], (0.5, 0.5)).collect()
+    assert [r[0] for r in capped] == [Decimal(values[1])] * 3 + [None]
+    assert clean.null_fill(df).dtypes == df.dtypes and clean.null_fill(df, accuracy=100).dtypes == df.dtypes
+    summary = {r.feature: r for r in profile.numeric_summary(df).collect()}
+    assert set(summary) == {"a.b", "x"} and summary["a.b"].nulls == 1
+    wide = spark.createDataFrame([(Decimal(1),)], "d decimal(38,2)")
+    assert clean.null_fill(wide).collect() == wide.collect()  # longer than a long: left as it is
+
+
+def test_decimals_and_drift(spark):
+    rows = [(Decimal(i) / 100,) for i in range(400)]
+    old = spark.createDataFrame(rows, "d decimal(10,2)")
+    new = spark.createDataFrame([(v + 2,) for v, in rows], "d decimal(10,2)")
+    report = drift.drift_report(old, new).collect()
+    assert [(r.feature, r.status) for r in report] == [("d", "DRIFT")]
+    assert drift.drift_psi(old, old, ["d"]).first().psi == 0

@@ -65,6 +65,7 @@ def csv_corrupt_quarantine(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("orders"))
 
 
+SPLITS = 1_000  # about, beyond which they grow with the texts
 TEXT_SCHEMA = schemas.table(doc_id="long!", source="string", text="string")
 
 
@@ -73,16 +74,16 @@ SELECT doc_id, source, length(text) AS n_chars, sha256(text) AS text_sha256, 'go
 UNION ALL SELECT NULL, NULL, length(text), sha256(text), 'without key' FROM documents WHERE doc_id % 50 = 0
 UNION ALL SELECT NULL, NULL, NULL, sha256('x' || doc_id || ',' || source || ',bad'), 'corrupt' FROM documents WHERE doc_id % 50 = 1""")
 def csv_many_splits(t: Tables) -> DataFrame:
-    """Whole texts with their line breaks and quotes, as one file that is read in many splits."""
+    """Whole texts with their line breaks and quotes, as files that are read in many splits."""
     path, size = scratch_path(t.spark, "csv-texts"), "spark.sql.files.maxPartitionBytes"
     docs = t.raw("documents").select("doc_id", "source", "text")
     keyless = docs.filter("doc_id % 50 = 0").withColumn("doc_id", F.lit(None).cast("long"))
     bad = docs.filter("doc_id % 50 = 1").select(F.concat(F.lit("x"), "doc_id").alias("doc_id"), "source", F.lit("bad").alias("text"))
     written = docs.unionByName(keyless).withColumn("doc_id", F.col("doc_id").cast("string")).unionByName(bad)
-    written.coalesce(1).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+    written.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
                                       ignoreTrailingWhiteSpace=False).csv(path)
-    before = t.spark.conf.get(size)
-    t.spark.conf.set(size, "128k")  # of this write alone, which ends inside
+    before, all_bytes = t.spark.conf.get(size), docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    t.spark.conf.set(size, str(max(128 << 10, all_bytes // SPLITS)))  # of this write alone, which ends inside
     try:
         found = records.ingest_csv(t.spark, path, TEXT_SCHEMA, scratch_path(t.spark, "texts"), "doc_id", multi_line=True)
     finally:

@@ -158,3 +158,13 @@ def test_a_header_in_another_order_raises(spark, tmp_path, multi_line):
     empty = tmp_path / "empty.csv"
     empty.write_text("id,n\n")
     assert records.ingest_csv(spark, str(empty), schema, scratch_path(spark, "e"), multi_line=multi_line).good.count() == 0
+
+
+def test_texts_are_written_by_several_tasks(tables):
+    from bindings.queries_base import csv_many_splits
+
+    with staged_in(tables.spark) as scope:
+        csv_many_splits(tables)
+    folder, = [p.removeprefix("file://") for p in scope.paths if "/csv-texts-" in p]
+    assert len([name for name in os.listdir(folder) if name.endswith(".csv")]) >= 3
+    scope.remove()

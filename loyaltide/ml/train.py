@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import PipelineModel
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,24 +79,55 @@ def search(train: DataFrame, kind: str = "gbt", folds: int = FOLDS, weighted: bo
 
     The table has a row per grid point: ``parameters`` (a map), the mean and
     deviation of the area under ROC over the folds, and whether it is the best.
+    The grid varies the classifier alone, so a fold's preprocessing is fitted
+    once, to its training rows, and its inputs are cached for all grid points.
     """
     if weighted:
         train = sample_weights(train, class_weights(train))
-    pipeline = build_pipeline(kind, weight_col="sample_weight" if weighted else None, **columns)
-    points = list(grid) if grid is not None else param_grid(pipeline.getStages()[-1], kind)
+    *before, estimator = build_pipeline(kind, weight_col="sample_weight" if weighted else None, **columns).getStages()
+    points = list(grid) if grid is not None else param_grid(estimator, kind)
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, numBins=0)
     train = with_fold(train, key, folds).persist()
     try:
-        found = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=points, numFolds=folds, foldCol="fold", parallelism=PARALLEL_FITS,
-            evaluator=BinaryClassificationEvaluator(labelCol=LABEL, numBins=0)).fit(train)
+        scores = []
+        for fold in range(folds):
+            with _inputs(before, train.filter(F.col("fold") != fold), estimator) as (prepared, fitting), \
+                    _cached(prepared.transform(train.filter(F.col("fold") == fold)), estimator) as held, \
+                    ThreadPool(PARALLEL_FITS) as pool:
+                def area(point, fitting=fitting, held=held):
+                    return evaluator.evaluate(estimator.fit(fitting, point).transform(held))
+
+                scores.append(pool.map(inheritable_thread_target(train.sparkSession)(area), points, 1))
+        means, deviations = np.mean(scores, axis=0), np.std(scores, axis=0)
+        best = max(means)
+        with _inputs(before, train, estimator) as (prepared, fitting):
+            model = PipelineModel([*prepared.stages, estimator.fit(fitting, points[int(np.argmax(means))])])
     finally:
         train.unpersist()
-    best = max(found.avgMetrics)
     rows = [({p.name: float(v) for p, v in point.items()}, float(mean), float(deviation), bool(mean == best))
-            for point, mean, deviation in zip(points, found.avgMetrics, found.stdMetrics)]
+            for point, mean, deviation in zip(points, means, deviations)]
     table = train.sparkSession.createDataFrame(
         rows, "parameters map<string,double>, mean_auc_roc double, std_auc_roc double, best boolean")
-    return found.bestModel, table
+    return model, table
+
+
+@contextmanager
+def _cached(rows: DataFrame, estimator):
+    """The columns that a classifier reads, cached inside the block."""
+    wanted = [estimator.getFeaturesCol(), LABEL, *([estimator.getWeightCol()] if estimator.isSet("weightCol") else [])]
+    kept = rows.select(*wanted).persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+@contextmanager
+def _inputs(before: Sequence, rows: DataFrame, estimator):
+    """The preprocessing fitted to the rows, and their inputs for the classifier."""
+    prepared = Pipeline(stages=list(before)).fit(rows)
+    with _cached(prepared.transform(rows), estimator) as kept:
+        yield prepared, kept
 
 
 def count_metrics(confusion: DataFrame, label_col: str = LABEL, prediction_col: str = "prediction") -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from bindings.queries_models import _landing
 from loyaltide.ml import pipeline, train
+from loyaltide.ml.pipeline import build_pipeline
 from loyaltide.plans.staging import scratch_path
 from loyaltide.streaming import score
 
@@ -102,3 +103,15 @@ def test_vector_probability_is_the_positive_class(tables, model):
     scored = score.batch_score(tables.features, model)
     gap = scored.select(F.max(F.abs(F.col("churn_probability") + vector_to_array("probability")[0] - 1))).first()[0]
     assert gap < 1e-9
+
+
+def test_grid_search_fits_the_preprocessing_once_a_fold(tables, monkeypatch):
+    from pyspark.ml.feature import Imputer
+
+    fitted, plain = [], Imputer._fit
+    monkeypatch.setattr(Imputer, "_fit", lambda self, rows: fitted.append(1) or plain(self, rows))
+    estimator = build_pipeline("lr").getStages()[-1]
+    grid = [{estimator.maxIter: 1, estimator.regParam: r} for r in (0.01, 0.1)]
+    model, table = train.search(tables.features, "lr", folds=2, grid=grid)
+    assert len(fitted) == 3  # two folds, and all rows for the best model
+    assert table.count() == 2 and model.transform(tables.features).count() == tables.features.count()

@@ -71,8 +71,9 @@ class Tables:
 
     @property
     def orders(self) -> DataFrame:
-        delivered = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
-            F.max("l_shipdate").alias("order_delivered_customer_date"))
+        delivered = order_ops.per_order(
+            self.raw("lineitem").select(F.col("l_orderkey").alias("order_id"), "l_shipdate"),
+            lambda shipped: shipped.groupBy("order_id").agg(F.max("l_shipdate").alias("order_delivered_customer_date")))
         placed = self.raw("orders").select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ CRITICAL = 5.0
 BUCKETS = 10
 PIECES = 8  # of a hot key, for each mean task that its rows would fill
 
+# Rows brought to a task by key: they fit its memory, in a few groupings and sorted, whatever the session's number of partitions.
+TASK_ROWS = 500_000
+
 
 def _severity(ratio: Column) -> Column:
     return F.when(ratio >= CRITICAL, "critical").when(ratio >= SKEWED, "moderate").otherwise("none")
@@ -106,6 +109,32 @@ def hot_keys(df: DataFrame, key: str | Sequence[str], min_share: float = 0.001)
     return counted.filter(F.col("_rows") >= F.lit(min_share) * found.agg(F.max("rows")).scalar())
 
 
+def by_key(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of a key brought together; ``rows`` is about how many there are.
+
+    The session's number of partitions stays, and with it Spark's freedom to
+    merge small ones, unless tasks would get more than ``TASK_ROWS`` rows.
+    """
+    conf = df.sparkSession.conf
+    usual = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    wanted = math.ceil(rows / TASK_ROWS)
+    return df.repartition(wanted, quoted(key)) if wanted > int(usual) else df.repartition(quoted(key))
+
+
+def per_key(df: DataFrame, key: str, combine: Callable[[DataFrame], DataFrame], hot: Sequence, rows: int) -> DataFrame:
+    """``combine``, which groups by key, with the rows of a key brought together first, once for all its groupings.
+
+    For keys of few rows: combining them before the shuffle would shrink
+    nothing, and map tasks would fill memory with about a group a row, and spill.
+    Rows of the ``hot`` keys are combined by all tasks, as Spark does it by itself.
+    """
+    if not hot:
+        return combine(by_key(df, key, rows))
+    known = [k for k in hot if k is not None]
+    is_hot = F.coalesce(quoted(key).isin(known), F.lit(None in hot))
+    return combine(by_key(df.filter(~is_hot), key, rows)).unionByName(combine(df.filter(is_hot)))
+
+
 def salts_needed(rows: Column, all_rows: Column, partitions: int) -> Column:
     """Pieces for a key: each is an eighth of a mean task, so that a task's pieces seldom add up to much more."""
     return F.greatest(F.ceil(rows * F.lit(PIECES * partitions) / all_rows), F.lit(1)).cast("int")

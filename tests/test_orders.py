@@ -1,5 +1,8 @@
+import re
+
+from bindings.registry import comparable
 from bindings.tables import SOLD
-from loyaltide.operators import orders
+from loyaltide.operators import orders, skew
 
 
 def aggregates(t, hot=None):
@@ -43,3 +46,18 @@ def test_rows_without_an_order_form_one_group(spark, rows):
     wanted = sorted([(None, 2, 3.0, 1.0, 1.5, 2, 1), (3, 1, 4.0, 0.0, 4.0, 0, 1)], key=repr)
     for hot in ([], [None], [3], [3, None]):
         assert rows(orders.items_per_order(items, hot)) == wanted
+
+
+def test_tasks_by_order_follow_the_rows(tables, plan, rows, monkeypatch):
+    """With the session's partitions alone tasks of a larger input got more rows than fit their memory, and spilled."""
+    plain = {name: rows(comparable(df, 6)) for name, df in aggregates(tables, []).items()}
+    monkeypatch.setattr(skew, "TASK_ROWS", orders.most_rows(tables.items) // 20)
+    dealt = aggregates(tables, [])
+    for df in dealt.values():
+        text = plan(df).split("== Physical Plan ==")[-1]
+        assert re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, (\d+)\), (\w+)", text) == \
+            [("20", "REPARTITION_BY_NUM")] * text.count("Exchange hashpartitioning(order_id")
+    assert {name: rows(comparable(df, 6)) for name, df in dealt.items()} == plain
+    wide = plan(tables.build_wide()).split("== Physical Plan ==")[-1]
+    # The aggregates by order meet the orders, and all of them the latest delivery, in equal partitions.
+    assert set(re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, (\d+)\)", wide)) == {"20"}
